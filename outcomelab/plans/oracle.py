@@ -226,3 +226,159 @@ register("csv_scan", f"""
 SELECT p_type, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(p_size) AS BIGINT) AS sum_size,
        round(avg(p_retailprice), {D}) AS avg_price
 FROM part GROUP BY p_type""")
+
+
+# ---- resampling, scores, metrics -------------------------------------------
+
+from outcomelab.plans.evaluation import FOLDS, K, SAMPLE_N, SCORE_DIGITS, SEED  # noqa: E402
+
+register("sample_exact", f"""
+SELECT o_orderkey, o_orderpriority FROM orders
+ORDER BY {hash_sql(SEED, 'o_orderkey')}, o_orderkey LIMIT {SAMPLE_N}""")
+
+register("bootstrap_resample", f"""
+WITH base AS (SELECT p_partkey, p_size, p_retailprice,
+                     row_number() OVER (ORDER BY {hash_sql(f'{SEED}-base', 'p_partkey')}, p_partkey) - 1 AS pos
+              FROM part),
+m AS (SELECT count(*) AS m FROM part),
+draws AS (SELECT pos AS draw_id, {hash_sql(SEED, 'pos')} % m.m AS pick FROM base CROSS JOIN m)
+SELECT CAST(d.draw_id AS BIGINT) AS draw_id, b.p_partkey, b.p_size, round(b.p_retailprice, {D}) AS p_retailprice
+FROM draws d JOIN base b ON b.pos = d.pick""")
+
+_FOLD = (f"CAST((row_number() OVER (PARTITION BY o_orderpriority ORDER BY {hash_sql(SEED, 'o_orderkey')}, "
+         f"o_orderkey) - 1) % {FOLDS} AS INTEGER)")
+
+register("stratified_folds", f"""
+SELECT o_orderkey, o_orderpriority, {_FOLD} AS fold FROM orders""")
+
+_PRED = f"SELECT o_orderkey, o_orderpriority AS t, {decode_sql('o_custkey % 5', PRIORITIES)} AS p FROM orders"
+_IN = "(" + ", ".join(_q(c) for c in PRIORITIES) + ")"
+
+register("confusion_matrix", f"""
+WITH pr AS ({_PRED}),
+cm AS (SELECT t, p, count(*) AS n FROM pr GROUP BY t, p)
+SELECT a.label AS true_label, CAST(a.ord AS BIGINT) AS true_order,
+       b.label AS pred_label, CAST(b.ord AS BIGINT) AS pred_order,
+       CAST(coalesce(cm.n, 0) AS BIGINT) AS n
+FROM {values_sql(PRIORITIES).replace('AS v(', 'AS a(')} CROSS JOIN {values_sql(PRIORITIES).replace('AS v(', 'AS b(')}
+LEFT JOIN cm ON cm.t = a.label AND cm.p = b.label""")
+
+register("confusion_normalized", f"""
+WITH cmx AS ({ORACLE_SQL['confusion_matrix']})
+SELECT *, round(CASE WHEN sum(n) OVER (PARTITION BY true_label) > 0
+                     THEN n / sum(n) OVER (PARTITION BY true_label) END, {D}) AS row_share
+FROM cmx""")
+
+# per-class counts from the confusion table (correlated sums), then ratios
+_PER_CLASS = f"""
+pr AS ({_PRED}),
+cm AS (SELECT t, p, count(*) AS n FROM pr GROUP BY t, p),
+tot AS (SELECT sum(n) AS n_all, sum(CASE WHEN t IN {_IN} AND p IN {_IN} THEN n ELSE 0 END) AS n_in FROM cm),
+pc AS (SELECT v.label, v.ord,
+         coalesce((SELECT sum(n) FROM cm WHERE cm.t = v.label AND cm.p = v.label), 0) AS tp,
+         coalesce((SELECT sum(n) FROM cm WHERE cm.t = v.label), 0) AS sup,
+         coalesce((SELECT sum(n) FROM cm WHERE cm.p = v.label), 0) AS prd,
+         coalesce((SELECT sum(n) FROM cm WHERE cm.t = v.label AND cm.p IN {_IN}), 0) AS supin,
+         coalesce((SELECT sum(n) FROM cm WHERE cm.p = v.label AND cm.t IN {_IN}), 0) AS prdin
+       FROM {values_sql(PRIORITIES)}),
+m AS (SELECT pc.*, tot.n_all, tot.n_in,
+        CASE WHEN prd > 0 THEN tp * 1.0 / prd ELSE 0.0 END AS prec,
+        CASE WHEN sup > 0 THEN tp * 1.0 / sup ELSE 0.0 END AS rec,
+        CASE WHEN sup + prd > 0 THEN 2.0 * tp / (sup + prd) ELSE 0.0 END AS f1,
+        CASE WHEN (n_in - supin - prdin + tp) + (prdin - tp) > 0
+             THEN (n_in - supin - prdin + tp) * 1.0 / ((n_in - supin - prdin + tp) + (prdin - tp))
+             ELSE 0.0 END AS spec
+      FROM pc CROSS JOIN tot)"""
+
+_SUMMARY = f"""
+WITH {_PER_CLASS},
+agg AS (SELECT any_value(n_all) AS n_all, any_value(n_in) AS n_in, sum(tp) AS diag,
+               sum(supin * prdin) AS pe_num, avg(prec) AS mp, avg(rec) AS mr, avg(spec) AS ms,
+               avg(f1) AS mf, sum(f1 * sup) AS wf_num, sum(sup) AS sup_tot FROM m)
+SELECT CAST(n_all AS BIGINT) AS n_rows,
+       round(diag * 1.0 / n_all, {D}) AS accuracy,
+       round(CASE WHEN pe_num * 1.0 / (n_in * n_in) < 1
+                  THEN (diag * 1.0 / n_in - pe_num * 1.0 / (n_in * n_in)) / (1 - pe_num * 1.0 / (n_in * n_in)) END, {D}) AS kappa,
+       round(mp, {D}) AS macro_precision, round(mr, {D}) AS macro_sensitivity,
+       round(ms, {D}) AS macro_specificity, round(mf, {D}) AS macro_f1,
+       round(CASE WHEN sup_tot > 0 THEN wf_num / sup_tot ELSE 0.0 END, {D}) AS weighted_f1
+FROM agg"""
+
+register("metrics_summary", _SUMMARY)
+
+register("metrics_long", f"""
+WITH s AS ({_SUMMARY})
+SELECT 'custkey_rule' AS model, metric, CAST(metric_order AS BIGINT) AS metric_order, value FROM (
+  SELECT 'accuracy' AS metric, 0 AS metric_order, accuracy AS value FROM s UNION ALL
+  SELECT 'kappa', 1, kappa FROM s UNION ALL
+  SELECT 'macro_precision', 2, macro_precision FROM s UNION ALL
+  SELECT 'macro_sensitivity', 3, macro_sensitivity FROM s UNION ALL
+  SELECT 'macro_specificity', 4, macro_specificity FROM s UNION ALL
+  SELECT 'macro_f1', 5, macro_f1 FROM s UNION ALL
+  SELECT 'weighted_f1', 6, weighted_f1 FROM s) u""")
+
+register("class_report", f"""
+WITH {_PER_CLASS},
+tot2 AS (SELECT sum(sup) AS st, avg(prec) AS mp, avg(rec) AS mr, avg(f1) AS mf,
+                sum(prec * sup) AS wp, sum(rec * sup) AS wr, sum(f1 * sup) AS wf FROM m)
+SELECT label AS class, CAST(ord AS BIGINT) AS row_order, round(prec, {D}) AS precision,
+       round(rec, {D}) AS recall, round(f1, {D}) AS f1, CAST(sup AS BIGINT) AS support FROM m
+UNION ALL
+SELECT 'macro avg', {K}, round(mp, {D}), round(mr, {D}), round(mf, {D}), CAST(st AS BIGINT) FROM tot2
+UNION ALL
+SELECT 'weighted avg', {K + 1},
+       round(CASE WHEN st > 0 THEN wp / st ELSE 0 END, {D}), round(CASE WHEN st > 0 THEN wr / st ELSE 0 END, {D}),
+       round(CASE WHEN st > 0 THEN wf / st ELSE 0 END, {D}), CAST(st AS BIGINT) FROM tot2""")
+
+
+def _raw(k: int) -> str:
+    return f"(CAST((o_custkey * {k + 1}) % 97 AS DOUBLE) / 97.0)"
+
+
+_E = [f"exp({_raw(k)} - greatest({', '.join(_raw(j) for j in range(K))}))" for k in range(K)]
+_SOFT = (f"SELECT o_orderkey, o_orderpriority, {encode_sql('o_orderpriority', PRIORITIES)} AS label, "
+         + ", ".join(f"{_E[k]} AS e{k}" for k in range(K)) + " FROM orders")
+_PROBS = (f"SELECT o_orderkey, o_orderpriority, label, "
+          + ", ".join(f"e{k} / ({' + '.join(f'e{j}' for j in range(K))}) AS p{k}" for k in range(K))
+          + f" FROM ({_SOFT}) s")
+
+register("softmax_scores", f"""
+SELECT o_orderkey, {', '.join(f'round(p{k}, {D}) AS p{k}' for k in range(K))},
+       round({' + '.join(f'p{k}' for k in range(K))}, {D}) AS p_sum
+FROM ({_PROBS}) q""")
+
+_ARGMAX = ("CASE " + " ".join(
+    f"WHEN {_raw(k)} = greatest({', '.join(_raw(j) for j in range(K))}) THEN {k}" for k in range(K)) + " END")
+
+register("argmax_label", f"""
+SELECT o_orderkey, CAST({_ARGMAX} AS BIGINT) AS pred_index,
+       {decode_sql(_ARGMAX, PRIORITIES)} AS pred_priority
+FROM orders""")
+
+register("auc_ovr", f"""
+WITH q AS ({_PROBS}),
+lng AS ({' UNION ALL '.join(f'SELECT {k} AS k, label, round(p{k}, {SCORE_DIGITS}) AS s FROM q' for k in range(K))}),
+g AS (SELECT k, s, sum(CASE WHEN label = k THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN label <> k THEN 1 ELSE 0 END) AS neg
+      FROM lng WHERE label IS NOT NULL GROUP BY k, s),
+c AS (SELECT k, pos, neg, coalesce(sum(neg) OVER (PARTITION BY k ORDER BY s
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+a AS (SELECT k, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                     THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END AS auc
+      FROM c GROUP BY k)
+SELECT CAST(k AS BIGINT) AS class_index, round(auc, {D}) AS auc FROM a
+UNION ALL
+SELECT -1, round(CASE WHEN count(auc) = {K} THEN avg(auc) END, {D}) FROM a""")
+
+register("cv_summary", f"""
+WITH f AS (SELECT o_orderpriority AS t, {decode_sql('o_custkey % 5', PRIORITIES)} AS p, {_FOLD} AS fold FROM orders),
+pc AS (SELECT f.fold, v.label,
+         sum(CASE WHEN f.t = v.label AND f.p = v.label THEN 1 ELSE 0 END) AS tp,
+         sum(CASE WHEN f.t = v.label THEN 1 ELSE 0 END) AS sup,
+         sum(CASE WHEN f.p = v.label THEN 1 ELSE 0 END) AS prd
+       FROM f CROSS JOIN {values_sql(PRIORITIES)} GROUP BY f.fold, v.label),
+fm AS (SELECT fold, sum(CASE WHEN sup + prd > 0 THEN 2.0 * tp / (sup + prd) ELSE 0.0 END)
+                    / sum(CASE WHEN sup + prd > 0 THEN 1 ELSE 0 END) AS macro_f1
+       FROM pc GROUP BY fold)
+SELECT CAST(count(*) AS BIGINT) AS n_folds, round(avg(macro_f1), {D}) AS mean_score,
+       round(stddev_pop(macro_f1), {D}) AS std_score FROM fm""")
