@@ -382,3 +382,39 @@ fm AS (SELECT fold, sum(CASE WHEN sup + prd > 0 THEN 2.0 * tp / (sup + prd) ELSE
        FROM pc GROUP BY fold)
 SELECT CAST(count(*) AS BIGINT) AS n_folds, round(avg(macro_f1), {D}) AS mean_score,
        round(stddev_pop(macro_f1), {D}) AS std_score FROM fm""")
+
+
+# ---- feature preparation ----------------------------------------------------
+
+from outcomelab.plans.featureprep import UNSEEN_TYPE  # noqa: E402
+
+register("standardize", f"""
+WITH s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS sd FROM orders)
+SELECT o_orderkey, round((o_totalprice - s.m) / CASE WHEN s.sd > 0 THEN s.sd ELSE 1.0 END, {D}) AS o_totalprice_z
+FROM orders CROSS JOIN s""")
+
+register("one_hot", f"""
+WITH cats AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS idx
+              FROM part WHERE p_type <> {_q(UNSEEN_TYPE)} AND p_type IS NOT NULL GROUP BY p_type)
+SELECT p.p_partkey, p.p_type, CAST(c.idx AS BIGINT) AS hot_index,
+       CAST(CASE WHEN c.idx IS NULL THEN 0 ELSE 1 END AS BIGINT) AS hot_count
+FROM part p LEFT JOIN cats c ON c.p_type = p.p_type""")
+
+register("class_weights", f"""
+WITH c AS (SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1),
+t AS (SELECT sum(n) AS total, count(*) AS k FROM c)
+SELECT o_orderpriority, CAST(n AS BIGINT) AS n_rows, round(t.total * 1.0 / (t.k * n), {D}) AS class_weight
+FROM c CROSS JOIN t""")
+
+register("gamma_scale", f"""
+WITH u AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, len(embedding) AS d FROM embeddings)
+SELECT CAST(count(x) AS BIGINT) AS n_values, CAST(max(d) AS BIGINT) AS dim,
+       round(var_pop(x), {D}) AS variance, round(1.0 / (max(d) * var_pop(x)), {D}) AS gamma
+FROM u""")
+
+register("pca_variance", f"""
+WITH s AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r, count(*) AS n FROM lineitem)
+SELECT CAST(1 AS BIGINT) AS component, round((1 + r) / 2 * 100, {D}) AS variance_pct,
+       round((1 + r) / 2 * 100, {D}) AS cumulative_pct, round((1 + r) * n / (n - 1.0), {D}) AS eigenvalue FROM s
+UNION ALL
+SELECT 2, round((1 - r) / 2 * 100, {D}), 100.0, round((1 - r) * n / (n - 1.0), {D}) FROM s""")
