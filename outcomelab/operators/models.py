@@ -59,11 +59,13 @@ def prep_stages(numeric: Sequence[str], categorical: str | None, scaling: str =
 
 
 def linear_svc_ovr(reg_param: float = 0.1, max_iter: int = 100, weight_col: str | None = None,
-                   parallelism: int = 5, features: str = "features", label: str = "label") -> OneVsRest:
+                   parallelism: int = 5, features: str = "features", label: str = "label",
+                   tol: float = 1e-6) -> OneVsRest:
     """One binary linear SVM per class, arg-max of margins; the k fits run
-    as ``parallelism`` concurrent Spark jobs."""
+    as ``parallelism`` concurrent Spark jobs. ``tol`` 1e-6 is Spark's
+    default; the sklearn-equivalent arms pass 1e-4, sklearn's default."""
     svc = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter,
-                    regParam=reg_param, standardization=False)
+                    regParam=reg_param, standardization=False, tol=tol)
     ovr = OneVsRest(classifier=svc, featuresCol=features, labelCol=label,
                     predictionCol="prediction", rawPredictionCol="rawPrediction",
                     parallelism=parallelism)
@@ -156,16 +158,32 @@ class RandomFourierFeaturesModel(Model, HasInputCol, HasOutputCol):
         return dataset.withColumn(self.getOutputCol(), array_to_vector(fourier(arr)))
 
 
+SKLEARN_TOL = 1e-4
+
+
 def rff_svc(c: float, weight_sum: float, gamma: float = 0.0, n_features: int = 200,
             seed: int = 42, max_iter: int = 100, weight_col: str | None = "weight",
-            parallelism: int = 5) -> list:
+            parallelism: int = 5, tol: float = SKLEARN_TOL) -> list:
     """Stages: Fourier map of ``features`` then a weighted linear SVM OvR."""
     rff = RandomFourierFeatures(inputCol="features", outputCol="rff", gamma=gamma,
                                 numFeatures=n_features, seed=seed)
     svc = linear_svc_ovr(reg_param=svc_reg_param(c, weight_sum), max_iter=max_iter,
-                         weight_col=weight_col, parallelism=parallelism, features="rff")
+                         weight_col=weight_col, parallelism=parallelism, features="rff", tol=tol)
     return [rff, svc]
 
 
+# Rows per partition of a training set: iterative fits run one job per
+# iteration, so tiny tasks cost more in scheduling than they save.
+ROWS_PER_FIT_TASK = 200_000
+
+
+def sized_for_fit(df: DataFrame, n_rows: int | None = None,
+                  rows_per_task: int = ROWS_PER_FIT_TASK) -> DataFrame:
+    """Repartition a training set to about ``rows_per_task`` rows per task
+    (one partition for small data, thousands at cluster scale)."""
+    n = df.count() if n_rows is None else n_rows
+    return df.repartition(max(1, math.ceil(n / rows_per_task)))
+
+
 def fit_pipeline(stages: list, train: DataFrame):
     return Pipeline(stages=stages).fit(train)

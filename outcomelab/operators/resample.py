@@ -63,13 +63,14 @@ def draw_rank(df: DataFrame, seed, id_col: str, by: Sequence[str] = (),
 
 
 def stratified_folds(df: DataFrame, class_col: str, id_col: str, k: int, seed=42,
-                     out: str = "fold", n_buckets: int | None = None) -> DataFrame:
+                     out: str = "fold", n_buckets: int | None = None,
+                     by: Sequence[str] = ()) -> DataFrame:
     """Shuffled stratified k-fold: fold = position within class mod k.
 
-    Per class, fold sizes differ by at most one row. Rows with a NULL class
-    form their own stratum.
+    Per class (and per ``by`` group), fold sizes differ by at most one row.
+    Rows with a NULL class form their own stratum.
     """
-    ranked = draw_rank(df, seed, id_col, by=[class_col], out="_pos", n_buckets=n_buckets)
+    ranked = draw_rank(df, seed, id_col, by=[*by, class_col], out="_pos", n_buckets=n_buckets)
     return ranked.withColumn(out, (F.col("_pos") % F.lit(k)).cast("int")).drop("_pos")
 
 

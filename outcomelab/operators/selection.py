@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,59 +43,103 @@ class MacroF1Evaluator(Evaluator, HasLabelCol, HasPredictionCol):
         return True
 
 
+def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipeline]],
+                fold_col: str, n_folds: int, evaluator: Evaluator,
+                parallelism: int = 8) -> DataFrame:
+    """Score every (candidate, fold) pair: fit on the other folds, evaluate
+    on the held-out fold.
+
+    All pairs run as concurrent Spark jobs from a thread pool (the
+    mechanism of ``CrossValidator(parallelism=...)``, but across folds and
+    candidates too): iterative fits are latency-bound, so concurrency is
+    what fills the cluster. Each task fits its own copy of the pipeline.
+    Returns (candidate, fold, score) rows.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    tasks = [(c, f) for c in range(len(candidates)) for f in range(n_folds)]
+
+    def run(task):
+        c, f = task
+        data, pipe = candidates[c]
+        train = data.filter(F.col(fold_col) != F.lit(f))
+        valid = data.filter(F.col(fold_col) == F.lit(f))
+        model = pipe.copy().fit(train)
+        return c, f, float(evaluator.evaluate(model.transform(valid)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, tasks))
+    return spark.createDataFrame(rows, "candidate bigint, fold bigint, score double")
+
+
+def summarize_folds(scores: DataFrame) -> DataFrame:
+    """Mean and population std of the fold scores per candidate."""
+    return scores.groupBy("candidate").agg(F.avg("score").alias("mean_score"),
+                                           F.stddev_pop("score").alias("std_score"),
+                                           F.count(F.lit(1)).alias("n_folds"))
+
+
 def grid_search(spark: SparkSession, train: DataFrame, stages: list, param_maps: list,
                 param_names: Sequence[str], fold_col: str, n_folds: int,
-                evaluator: Evaluator, parallelism: int = 4, seed: int = 42):
+                evaluator: Evaluator, parallelism: int = 8, refit: bool = True):
     """Cross-validated grid search over ``param_maps`` on fixed folds
-    (``fold_col`` from ``resample.stratified_folds``); refits the best on
-    all of ``train``.
+    (``fold_col`` from ``resample.stratified_folds``), then a refit of the
+    best candidate on all of ``train``.
 
-    Returns (best PipelineModel, table of parameters, mean and population
-    std of the fold scores, rank). Ties rank by grid order.
+    Returns (best PipelineModel or None, table of parameters, mean and
+    population std of the fold scores, rank; ties rank by grid order).
     """
-    cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=param_maps,
-                        evaluator=evaluator, numFolds=n_folds, foldCol=fold_col,
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(train)
+    base = Pipeline(stages=stages)
+    cands = [(train, base.copy(pm)) for pm in param_maps]
+    summary = {r["candidate"]: (r["mean_score"], r["std_score"]) for r in
+               summarize_folds(fold_scores(spark, cands, fold_col, n_folds, evaluator,
+                                           parallelism)).collect()}
     rows = []
     for i, pm in enumerate(param_maps):
         vals = [str(pm[p]) for p in pm]
-        rows.append((i, *vals, float(model.avgMetrics[i]), float(model.stdMetrics[i])))
+        rows.append((i, *vals, float(summary[i][0]), float(summary[i][1])))
     ordered = sorted(rows, key=lambda r: (-r[-2], r[0]))
     ranked = [(rank + 1, *r) for rank, r in enumerate(ordered)]
     schema = ("rank bigint, grid_index bigint, " + ", ".join(f"{n} string" for n in param_names)
               + ", mean_score double, std_score double")
-    return model.bestModel, spark.createDataFrame(ranked, schema)
+    best = base.copy(param_maps[ordered[0][0]]).fit(train) if refit else None
+    return best, spark.createDataFrame(ranked, schema)
 
 
 def group_cv(spark: SparkSession, df: DataFrame, group_col: str, groups: Sequence[str],
              stages_for, class_col: str, id_col: str, n_folds: int, evaluator: Evaluator,
-             min_rows: int = 200, seed: int = 42, parallelism: int = 4) -> DataFrame:
+             min_rows: int = 200, seed: int = 42, parallelism: int = 8) -> DataFrame:
     """Cross-validation inside each group with fixed parameters.
 
     A group with fewer than ``min_rows`` rows is not fitted and reports
     mean NULL, std 0. ``stages_for(group_df)`` builds the stages (so that
-    weights and penalties can follow the group's size). One row per group
-    in the given order.
+    penalties can follow the group's size). Folds are stratified by class
+    within the group; all (group, fold) fits run concurrently. One row per
+    group, in the given order.
     """
     sizes = {r[group_col]: r["n"] for r in
              df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+    from outcomelab.operators.models import sized_for_fit
+    folded = sized_for_fit(resample.stratified_folds(df, class_col, id_col, n_folds, seed=seed,
+                                                     by=[group_col])).persist()
+    try:
+        fitted_groups = [g for g in groups if int(sizes.get(g, 0)) >= min_rows]
+        cands = []
+        for g in fitted_groups:
+            part = folded.filter(F.col(group_col) == F.lit(g))
+            cands.append((part, Pipeline(stages=stages_for(part))))
+        summary = {}
+        if cands:
+            for r in summarize_folds(fold_scores(spark, cands, "fold", n_folds, evaluator,
+                                                 parallelism)).collect():
+                summary[fitted_groups[r["candidate"]]] = (r["mean_score"], r["std_score"])
+    finally:
+        folded.unpersist()
     out = []
     for i, g in enumerate(groups):
         n = int(sizes.get(g, 0))
-        if n < min_rows:
-            out.append((g, i, n, None, 0.0))
-            continue
-        part = df.filter(F.col(group_col) == F.lit(g))
-        folded = resample.stratified_folds(part, class_col, id_col, n_folds, seed=seed).persist()
-        try:
-            cv = CrossValidator(estimator=Pipeline(stages=stages_for(folded)),
-                                estimatorParamMaps=[{}], evaluator=evaluator,
-                                numFolds=n_folds, foldCol="fold", parallelism=parallelism)
-            m = cv.fit(folded)
-            out.append((g, i, n, float(m.avgMetrics[0]), float(m.stdMetrics[0])))
-        finally:
-            folded.unpersist()
+        m, s = summary.get(g, (None, 0.0))
+        out.append((g, i, n, m, s))
     return spark.createDataFrame(
         out, f"{group_col} string, group_order bigint, n_rows bigint, mean_score double, std_score double")
 

@@ -62,7 +62,8 @@ def stages_for(kind: str, train: DataFrame, c: float | None = None, gamma: float
     base = models.prep_stages(NUMERIC, CATEGORICAL, scaling="numeric")
     if kind == "svc_ovr_weighted":
         return base + [models.linear_svc_ovr(reg_param=models.svc_reg_param(c or 1.0, n),
-                                             max_iter=100, weight_col="weight")]
+                                             max_iter=100, weight_col="weight",
+                                             tol=models.SKLEARN_TOL)]
     if kind == "logreg":
         return base + [models.logistic(c=c or 1.0, weight_sum=n, max_iter=2000)]
     if kind == "svc_rff":
@@ -76,7 +77,7 @@ def fitted(spark, sf_dir, kind: str):
     key = (id(spark.sparkContext), sf_dir, kind)
     if key not in _FITTED:
         train, _ = splits(spark, sf_dir)
-        train = _weighted(train).persist(StorageLevel.MEMORY_AND_DISK)
+        train = models.sized_for_fit(_weighted(train)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             _FITTED[key] = models.fit_pipeline(stages_for(kind, train), train)
         finally:
@@ -147,7 +148,8 @@ def q_auc_models(spark, sf_dir):
 
 def _grid(spark, sf_dir, cs, gammas, n_folds):
     train, _ = splits(spark, sf_dir)
-    folded = resample.stratified_folds(_weighted(train), "label", "row_id", n_folds, seed=SEED) \
+    folded = models.sized_for_fit(
+        resample.stratified_folds(_weighted(train), "label", "row_id", n_folds, seed=SEED)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_fit = folded.count() * (n_folds - 1) / n_folds
