@@ -17,14 +17,15 @@ def scaling_curve(spark: SparkSession, base: DataFrame, id_col: str, sizes: Sequ
     """Seconds to fit each arm on an exact-size bootstrap of ``base``.
 
     Each resample is drawn inside Spark (no driver round trip),
-    repartitioned to the cluster's parallelism and materialised before the
-    clock starts, so only the fit is timed. A failed fit is recorded as
+    repartitioned to about ``ROWS_PER_FIT_TASK`` rows per task (unless
+    ``partitions`` is given) and materialised before the clock starts, so only the fit is timed. A failed fit is recorded as
     NULL and the sweep goes on. The persisted resample is recomputable from
     its lineage if an executor is lost.
     """
-    parts = partitions or spark.sparkContext.defaultParallelism
+    from outcomelab.operators.models import ROWS_PER_FIT_TASK
     rows = []
     for n in sizes:
+        parts = partitions or max(1, -(-int(n) // ROWS_PER_FIT_TASK))
         boot = (bootstrap_resample(spark, base, id_col, n, seed=seed)
                 .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK))
         try:
