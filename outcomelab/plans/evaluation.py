@@ -127,3 +127,28 @@ def q_cv_summary(spark, sf_dir):
     return rounded(per_fold.agg(F.count(F.lit(1)).alias("n_folds"),
                                 F.avg("macro_f1").alias("mean_score"),
                                 F.stddev_pop("macro_f1").alias("std_score")))
+
+
+REPORT_SECTION = "=== custkey_rule - orders ==="
+
+
+@query("report_scrape")
+def q_report_scrape(spark, sf_dir):
+    """Write the metrics report as text to the shared scratch folder, read
+    it back whole and scrape numbers after the section title (a missing
+    report or line gives NULL)."""
+    from outcomelab.session import scratch_path
+    from outcomelab.sources import read_text_log, scrape_metrics
+    s = metrics.metrics_summary(predicted_orders(spark, sf_dir), "o_orderpriority",
+                                "pred_priority", PRIORITIES)
+    text = s.select(F.concat_ws("\n", F.lit(REPORT_SECTION),
+                                F.format_string("  Accuracy:    %.4f", "accuracy"),
+                                F.format_string("  Kappa:       %.4f", "kappa"),
+                                F.format_string("  Macro-F1:    %.4f", "macro_f1"),
+                                F.format_string("  W-F1:        %.4f", "weighted_f1")).alias("value"))
+    path = scratch_path(spark, "metrics-report")
+    text.coalesce(1).write.mode("overwrite").text(path)
+    back = scrape_metrics(read_text_log(spark, path), REPORT_SECTION,
+                          {"accuracy": r"Accuracy:\s*([-0-9.]+)", "macro_f1": r"Macro-F1:\s*([-0-9.]+)",
+                           "weighted_f1": r"W-F1:\s*([-0-9.]+)"})
+    return back.select("accuracy", "macro_f1", "weighted_f1")

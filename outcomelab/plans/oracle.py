@@ -418,3 +418,8 @@ SELECT CAST(1 AS BIGINT) AS component, round((1 + r) / 2 * 100, {D}) AS variance
        round((1 + r) / 2 * 100, {D}) AS cumulative_pct, round((1 + r) * n / (n - 1.0), {D}) AS eigenvalue FROM s
 UNION ALL
 SELECT 2, round((1 - r) / 2 * 100, {D}), 100.0, round((1 - r) * n / (n - 1.0), {D}) FROM s""")
+
+register("report_scrape", f"""
+WITH s AS ({_SUMMARY})
+SELECT round(accuracy, 4) AS accuracy, round(macro_f1, 4) AS macro_f1, round(weighted_f1, 4) AS weighted_f1
+FROM s""")
