@@ -38,14 +38,16 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
              .withColumn("lo_fence", F.col("q1") - F.lit(whis) * F.col("iqr"))
              .withColumn("hi_fence", F.col("q3") + F.lit(whis) * F.col("iqr")))
     lo, hi, x = F.col("lo_fence"), F.col("hi_fence"), F.col("_v")
-    tails = (folded.join(stats.select(*keys, "lo_fence", "hi_fence"), keys)
-             .groupBy(*keys)
-             .agg(F.min(F.when(x >= lo, x)).alias("whisker_low"),
-                  F.max(F.when(x <= hi, x)).alias("whisker_high"),
-                  F.sum(F.when((x < lo) | (x > hi), F.col("_w")).otherwise(F.lit(0)))
-                  .cast("bigint").alias("n_outliers"),
-                  F.min(x).alias("min_value"), F.max(x).alias("max_value")))
-    out = stats.join(tails, keys)
+    stat_cols = ["n", "q1", "median", "q3", "iqr", "lo_fence", "hi_fence"]
+    # the statistics are constant within a group: grouping by them as well
+    # carries them through without a second join
+    out = (folded.join(stats, keys)
+           .groupBy(*keys, *stat_cols)
+           .agg(F.min(F.when(x >= lo, x)).alias("whisker_low"),
+                F.max(F.when(x <= hi, x)).alias("whisker_high"),
+                F.sum(F.when((x < lo) | (x > hi), F.col("_w")).otherwise(F.lit(0)))
+                .cast("bigint").alias("n_outliers"),
+                F.min(x).alias("min_value"), F.max(x).alias("max_value")))
     return out.drop("_all") if not by else out
 
 

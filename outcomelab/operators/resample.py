@@ -44,7 +44,10 @@ def draw_rank(df: DataFrame, seed, id_col: str, by: Sequence[str] = (),
     if n_buckets is None:
         n_buckets = bucket_count(df.count())
     h = hash_draw(seed, id_col)
-    b = F.floor(h.cast("double") / F.lit(HASH_SPAN) * F.lit(n_buckets)).cast("int")
+    # never NULL (the draw of a NULL id is bucket 0), so no extra
+    # is-not-null filter re-evaluating the hash is inferred for the join key
+    b = F.coalesce(F.floor(h.cast("double") / F.lit(HASH_SPAN) * F.lit(n_buckets)).cast("int"),
+                   F.lit(0))
     d = df.withColumn("_h", h).withColumn("_b", b)
     local = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", id_col)) - F.lit(1)
     d = d.withColumn("_local", local)
