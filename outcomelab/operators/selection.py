@@ -117,8 +117,11 @@ def group_cv(spark: SparkSession, df: DataFrame, group_col: str, groups: Sequenc
     within the group; all (group, fold) fits run concurrently. One row per
     group, in the given order.
     """
+    # sizes of the requested groups only: the collected rows are bounded by
+    # the ``groups`` parameter, not by the data
     sizes = {r[group_col]: r["n"] for r in
-             df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+             df.filter(F.col(group_col).isin(*[F.lit(g) for g in groups]))
+             .groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     from outcomelab.operators.models import sized_for_fit
     folded = sized_for_fit(resample.stratified_folds(df, class_col, id_col, n_folds, seed=seed,
                                                      by=[group_col])).persist()
@@ -163,9 +166,10 @@ def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], la
     src = df.select(*keep)
     partner_vals = src.select(F.col(id_col).alias("_partner"),
                               *[F.col(f).alias(f"_p_{i}") for i, f in enumerate(feats)])
+    n_buckets = resample.bucket_count(src.count())
     variants = None
     for r in range(repeats):
-        pairs = resample.permutation_pairs(src, id_col, f"{seed}-perm-{r}") \
+        pairs = resample.permutation_pairs(src, id_col, f"{seed}-perm-{r}", n_buckets=n_buckets) \
             .withColumnRenamed("partner", "_partner")
         v = (src.join(pairs, id_col).join(partner_vals, "_partner")
              .withColumn("_repeat", F.lit(r)))
