@@ -121,10 +121,14 @@ def q_predictions_wide(spark, sf_dir):
     chained transforms with their own output columns, no positional join."""
     _, test = splits(spark, sf_dir)
     out = test.drop("label", "split", "era")
+    keep = list(out.columns)
     for kind, col in (("svc_rff", "pred_svm_rbf"), ("svc_ovr_weighted", "pred_svm_linear"),
                       ("logreg", "pred_logreg")):
-        scored = fitted(spark, sf_dir, kind).transform(test.select("row_id", *NUMERIC, CATEGORICAL))
-        out = out.join(scored.select("row_id", decode_label("prediction", CLASSES).alias(col)), "row_id")
+        # each model appends its working columns; keep only its decoded
+        # prediction, so the next model sees the input columns again
+        scored = fitted(spark, sf_dir, kind).transform(out)
+        out = scored.select(*keep, decode_label("prediction", CLASSES).alias(col))
+        keep.append(col)
     return out
 
 

@@ -45,3 +45,15 @@ def test_permutation_importance_order(spark):
     assert len(imp) == len(NUMERIC) + 1
     strong = max(imp["grid"], imp["driver_standing"], imp["constructor_standing"])
     assert strong > imp["alt"] and strong > 0.01
+
+
+def test_predictions_wide_keeps_rows_and_columns(spark):
+    _, test = modeling.splits(spark, SF01)
+    wide = modeling.q_predictions_wide(spark, SF01)
+    cols = set(wide.columns)
+    assert {"pred_svm_rbf", "pred_svm_linear", "pred_logreg", "row_id", "final_position"} <= cols
+    assert "features" not in cols and "prediction" not in cols
+    assert wide.count() == test.count()
+    nulls = wide.filter(F.col("pred_svm_rbf").isNull() | F.col("pred_svm_linear").isNull()
+                        | F.col("pred_logreg").isNull()).count()
+    assert nulls == 0
