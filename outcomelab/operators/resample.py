@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outcomelab.functions.draws import HASH_SPAN, hash_draw
@@ -105,7 +105,7 @@ def bootstrap_resample(spark: SparkSession, df: DataFrame, id_col: str, n: int,
     m = df.count()
     if m == 0:
         raise ValueError("cannot resample an empty table")
-    base = draw_rank(df, f"{seed}-base", id_col, out="_pos")
+    base = draw_rank(df, f"{seed}-base", id_col, out="_pos", n_buckets=bucket_count(m))
     draws = (spark.range(n).withColumnRenamed("id", out_id)
              .withColumn("_pos", F.pmod(hash_draw(seed, out_id), F.lit(m))))
     return draws.join(base, "_pos").drop("_pos")
