@@ -11,7 +11,8 @@ from outcomelab.operators._util import drop_null_keys
 
 
 def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
-                  whis: float = 1.5) -> DataFrame:
+                  whis: float = 1.5, exact: bool = True,
+                  accuracy: int = 10_000) -> DataFrame:
     """Quartiles (linear interpolation), whiskers and outliers per group.
 
     Whiskers reach the most extreme data points inside
@@ -22,6 +23,14 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
     ``percentile`` with frequencies; the per-group fences are joined back to
     the folded table (one row per group: Spark broadcasts it when its
     measured size allows) for the whisker pass.
+
+    Exact quartiles keep every distinct value of a group in one aggregation
+    buffer: right for low-cardinality values (standings, counts). For a
+    continuous column pass ``exact=False``: ``percentile_approx`` keeps a
+    mergeable sketch of bounded size per group (rank error about
+    1/``accuracy``), so a group holding a third of all rows costs no more
+    memory than a small one. Whiskers and outliers are then exact relative
+    to the approximate fences.
     """
     by = list(by)
     keys = by or ["_all"]
@@ -29,9 +38,14 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
     v = F.col(value).cast("double")
     folded = (drop_null_keys(base, keys).filter(v.isNotNull())
               .groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
-    q = (folded.groupBy(*keys)
-         .agg(F.percentile("_v", [0.25, 0.5, 0.75], F.col("_w")).alias("_q"),
-              F.sum("_w").alias("n")))
+    if exact:
+        quart = F.percentile("_v", [0.25, 0.5, 0.75], F.col("_w"))
+        q = folded.groupBy(*keys).agg(quart.alias("_q"), F.sum("_w").alias("n"))
+    else:
+        # the sketch reads raw rows (it has no weights); no folding needed
+        raw = drop_null_keys(base, keys).filter(v.isNotNull())
+        q = raw.groupBy(*keys).agg(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q"),
+                                   F.count(F.lit(1)).alias("n"))
     stats = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                      F.col("_q")[2].alias("q3"))
     stats = (stats.withColumn("iqr", F.col("q3") - F.col("q1"))

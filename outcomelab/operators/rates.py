@@ -110,11 +110,17 @@ def share_at_most(df: DataFrame, by: Sequence[str], value: str, threshold) -> Da
                  (F.avg(at_most(value, threshold)) * F.lit(100.0)).alias("share_pct")))
 
 
-def group_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Per group: exact interpolated median of ``value`` and the row count."""
+def group_median(df: DataFrame, by: Sequence[str], value: str, exact: bool = True,
+                 accuracy: int = 10_000) -> DataFrame:
+    """Per group: interpolated median of ``value`` and the row count.
+
+    ``exact=False`` uses a bounded-memory sketch (``percentile_approx``),
+    the choice for continuous values with hot groups.
+    """
+    x = F.col(value).cast("double")
+    med = F.median(x) if exact else F.percentile_approx(x, 0.5, accuracy).cast("double")
     return (drop_null_keys(df, by).groupBy(*by)
-            .agg(F.median(F.col(value).cast("double")).alias("median_value"),
-                 F.count(F.lit(1)).alias("n_rows")))
+            .agg(med.alias("median_value"), F.count(F.lit(1)).alias("n_rows")))
 
 
 def min_rows_guard(df: DataFrame, by: Sequence[str], value: str, min_rows: int) -> DataFrame:

@@ -150,3 +150,28 @@ def test_class_weights_balanced(spark):
     assert math.isclose(got[0.0], 4 / 6) and math.isclose(got[1.0], 2.0)
     w = features.with_class_weights(df, "label").agg(F.sum("weight")).first()[0]
     assert math.isclose(w, 4.0)
+
+
+def test_draw_rank_skewed_class_equals_single_window(spark):
+    """Brute force: one class holds 80% of the rows; bucketed positions equal
+    one row_number() over the whole class."""
+    from pyspark.sql import Window
+    from outcomelab.functions import hash_draw
+    df = spark.range(3000).withColumn(
+        "cls", F.when(F.col("id") % 5 == 0, F.lit("cold")).otherwise(F.lit("hot")))
+    got = resample.draw_rank(df, 9, "id", by=["cls"], out="pos", n_buckets=13)
+    w = Window.partitionBy("cls").orderBy(hash_draw(9, "id"), "id")
+    want = df.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_approximate_quartiles_close_to_exact(spark):
+    df = spark.range(20000).select((F.col("id") % 3).alias("g"),
+                                   (F.col("id") * 0.37 % 101).alias("v"))
+    ex = {r.g: r for r in distribution.boxplot_stats(df, ["g"], "v").collect()}
+    ap = {r.g: r for r in distribution.boxplot_stats(df, ["g"], "v", exact=False).collect()}
+    for g in ex:
+        assert ap[g].n == ex[g].n
+        assert abs(ap[g].median - ex[g].median) < 0.5 and abs(ap[g].q3 - ex[g].q3) < 0.5
+    med = {r.g: r.median_value for r in rates.group_median(df, ["g"], "v", exact=False).collect()}
+    assert all(abs(med[g] - ex[g].median) < 0.5 for g in ex)
