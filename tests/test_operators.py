@@ -175,3 +175,22 @@ def test_approximate_quartiles_close_to_exact(spark):
         assert abs(ap[g].median - ex[g].median) < 0.5 and abs(ap[g].q3 - ex[g].q3) < 0.5
     med = {r.g: r.median_value for r in rates.group_median(df, ["g"], "v", exact=False).collect()}
     assert all(abs(med[g] - ex[g].median) < 0.5 for g in ex)
+
+
+def test_auc_matches_pairwise_brute_force(spark):
+    from outcomelab.functions import unit_draw
+    k = 3
+    df = spark.range(400).select(
+        (F.col("id") % k).cast("double").alias("label"),
+        F.array(*[F.round(unit_draw(f"s{j}", "id") + F.when(F.col("id") % k == j, 0.3).otherwise(0.0), 1)
+                  for j in range(k)]).alias("probs"))
+    got = {r.class_index: r.auc for r in metrics.auc_ovr(spark, df, "label", "probs", k).collect()}
+    rows = df.collect()
+    want = []
+    for j in range(k):
+        pos = [r.probs[j] for r in rows if r.label == j]
+        neg = [r.probs[j] for r in rows if r.label != j]
+        wins = sum(1.0 if p > q else 0.5 if p == q else 0.0 for p in pos for q in neg)
+        want.append(wins / (len(pos) * len(neg)))
+        assert abs(got[j] - want[j]) < 1e-12
+    assert abs(got[-1] - sum(want) / k) < 1e-12
