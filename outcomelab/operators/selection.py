@@ -45,7 +45,7 @@ class MacroF1Evaluator(Evaluator, HasLabelCol, HasPredictionCol):
 
 def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipeline]],
                 fold_col: str, n_folds: int, evaluator: Evaluator,
-                parallelism: int = 8) -> DataFrame:
+                parallelism: int | None = None) -> DataFrame:
     """Score every (candidate, fold) pair: fit on the other folds, evaluate
     on the held-out fold.
 
@@ -58,6 +58,9 @@ def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipel
     from concurrent.futures import ThreadPoolExecutor
 
     tasks = [(c, f) for c in range(len(candidates)) for f in range(n_folds)]
+    if parallelism is None:
+        # every pair at once on a large cluster; at least 8 threads locally
+        parallelism = min(len(tasks), max(8, spark.sparkContext.defaultParallelism))
 
     def run(task):
         c, f = task
@@ -81,7 +84,7 @@ def summarize_folds(scores: DataFrame) -> DataFrame:
 
 def grid_search(spark: SparkSession, train: DataFrame, stages: list, param_maps: list,
                 param_names: Sequence[str], fold_col: str, n_folds: int,
-                evaluator: Evaluator, parallelism: int = 8, refit: bool = True):
+                evaluator: Evaluator, parallelism: int | None = None, refit: bool = True):
     """Cross-validated grid search over ``param_maps`` on fixed folds
     (``fold_col`` from ``resample.stratified_folds``), then a refit of the
     best candidate on all of ``train``.
@@ -108,7 +111,7 @@ def grid_search(spark: SparkSession, train: DataFrame, stages: list, param_maps:
 
 def group_cv(spark: SparkSession, df: DataFrame, group_col: str, groups: Sequence[str],
              stages_for, class_col: str, id_col: str, n_folds: int, evaluator: Evaluator,
-             min_rows: int = 200, seed: int = 42, parallelism: int = 8) -> DataFrame:
+             min_rows: int = 200, seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """Cross-validation inside each group with fixed parameters.
 
     A group with fewer than ``min_rows`` rows is not fitted and reports
