@@ -44,9 +44,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     and scratch tables land in the same place.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root
+        # named in the session's configuration but not yet registered
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir() or root
     root = tempfile.mkdtemp(prefix="outcomelab-ckpt-")
     sc.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
