@@ -134,12 +134,23 @@ def class_report(df: DataFrame, truth: str, pred: str, classes: Sequence,
     return wide.select(unpivot_rows(*rows))
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:
+# Up to this many classes the confusion table is one aggregate with a count
+# per cell; above it (k^2 expressions would overflow generated code) it is a
+# grouped count joined onto the literal k x k grid.
+WIDE_CLASS_LIMIT = 16
+
+
+def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence,
+                     wide_limit: int = WIDE_CLASS_LIMIT) -> DataFrame:
     """Dense k x k table (true, predicted, n) in the fixed class order.
 
-    One aggregate with a count per cell, unpivoted by a generator: empty
-    cells are present with n = 0 and no join is needed.
+    Small k: one aggregate with a count per cell, unpivoted by a generator;
+    empty cells are present with n = 0 and no join is needed. Large k: a
+    grouped count (at most k^2 rows after partial aggregation) left-joined
+    onto the literal grid, whose size the class list bounds.
     """
+    if len(classes) > wide_limit:
+        return _confusion_long(df, truth, pred, classes)
     t, p = F.col(truth), F.col(pred)
     aggs, rows = [], []
     for i, a in enumerate(classes):
@@ -151,6 +162,20 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence) ->
     return df.agg(*aggs).select(unpivot_rows(*rows))
 
 
+def _confusion_long(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:
+    labels = [str(c) for c in classes]
+    grid = df.sparkSession.range(1).select(unpivot_rows(*[
+        [("true_label", F.lit(a)), ("true_order", F.lit(i).cast("bigint")),
+         ("pred_label", F.lit(b)), ("pred_order", F.lit(j).cast("bigint"))]
+        for i, a in enumerate(labels) for j, b in enumerate(labels)]))
+    counts = (df.groupBy(F.col(truth).cast("string").alias("_t"), F.col(pred).cast("string").alias("_p"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    joined = grid.join(counts, (grid["true_label"] == counts["_t"]) & (grid["pred_label"] == counts["_p"]),
+                       "left")
+    return joined.select("true_label", "true_order", "pred_label", "pred_order",
+                         F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"))
+
+
 def confusion_normalized(cm: DataFrame) -> DataFrame:
     """Row-normalised confusion table; a class with no true rows gives NULL.
 

@@ -194,3 +194,13 @@ def test_auc_matches_pairwise_brute_force(spark):
         want.append(wins / (len(pos) * len(neg)))
         assert abs(got[j] - want[j]) < 1e-12
     assert abs(got[-1] - sum(want) / k) < 1e-12
+
+
+def test_confusion_long_path_equals_wide(spark):
+    df = spark.range(500).select((F.col("id") % 7).cast("double").alias("t"),
+                                 ((F.col("id") * 3) % 5).cast("double").alias("p"))
+    classes = [float(i) for i in range(8)]
+    wide = metrics.confusion_matrix(df, "t", "p", classes)
+    long = metrics.confusion_matrix(df, "t", "p", classes, wide_limit=2)
+    assert sorted(wide.collect()) == sorted(long.collect())
+    assert long.count() == 64 and long.agg(F.sum("n")).first()[0] == 500
