@@ -16,7 +16,7 @@ def read_text_log(spark: SparkSession, path: str) -> DataFrame:
     ``wholetext`` is passed as an argument: the reader option of the same
     name is overridden by the argument's default.
     """
-    return spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
+    return spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
 
 
 def scrape_metrics(text_df: DataFrame, section: str | None,
