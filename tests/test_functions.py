@@ -48,3 +48,15 @@ def test_hash_draw_independent_of_partitioning(spark):
     b = spark.range(1000).repartition(4).select("id", hash_draw(42, "id").alias("h"))
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.agg(F.min("h")).first()[0] >= 0
+
+
+def test_scrape_metrics_section_and_missing(spark):
+    from outcomelab.sources import scrape_metrics
+    text = ("=== A ===\n  Accuracy:    0.5000\n  Macro-F1:    0.2500\n"
+            "=== B ===\n  Accuracy:    0.7500\n")
+    df = spark.createDataFrame([(text,)], "value string")
+    pats = {"acc": r"Accuracy:\s*([-0-9.]+)", "f1": r"Macro-F1:\s*([-0-9.]+)"}
+    b = scrape_metrics(df, "=== B ===", pats).first()
+    assert b.acc == 0.75 and b.f1 is None
+    missing = scrape_metrics(df, "=== C ===", pats).first()
+    assert missing.acc is None and missing.f1 is None
