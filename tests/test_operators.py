@@ -204,3 +204,12 @@ def test_confusion_long_path_equals_wide(spark):
     long = metrics.confusion_matrix(df, "t", "p", classes, wide_limit=2)
     assert sorted(wide.collect()) == sorted(long.collect())
     assert long.count() == 64 and long.agg(F.sum("n")).first()[0] == 500
+
+
+def test_metrics_on_empty_predictions(spark):
+    empty = spark.createDataFrame([], "t string, p string")
+    r = metrics.metrics_summary(empty, "t", "p", CLASSES).first()
+    assert r.n_rows == 0 and r.accuracy is None and r.kappa is None
+    assert r.macro_f1 == 0.0 and r.weighted_f1 == 0.0
+    cm = metrics.confusion_matrix(empty, "t", "p", CLASSES)
+    assert cm.count() == 9 and cm.agg(F.sum("n")).first()[0] == 0
