@@ -51,3 +51,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find, fit
     docs = table(spark, sf_dir, "documents")
     return find(docs, fit(spark, docs))
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import digests, without_repeats
+    return digests(without_repeats(spark, table(spark, sf_dir, "documents")))
+
+
+@query("op8_token_id_output")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_output import round_trip
+    return round_trip(spark, table(spark, sf_dir, "documents"))
