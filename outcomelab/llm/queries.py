@@ -63,3 +63,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_output import round_trip
     return round_trip(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+    return extract(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op6_license_scans")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+    return scan(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pitman_yor import score_documents
+    return score_documents(spark, table(spark, sf_dir, "documents"))
