@@ -85,7 +85,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     for part, n in parts:  # one row per written part
         before.append((part, at))
         at += n
-    offsets = spark.createDataFrame(before, "p int, before long")
+    # one row for each written part, which the session's partition count bounds
+    offsets = F.broadcast(spark.createDataFrame(before, "p int, before long"))
     return (rows.join(offsets, F.col("part") == F.col("p"))
             .select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids"))
 
