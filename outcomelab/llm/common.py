@@ -87,10 +87,11 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = salted(h[:n], k)
+    out = h[:n] + np.uint64(k)
     for j in range(1, k):
-        out = mix(out * np.uint64(3) + h[j:j + n])
-    return out
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += h[j:j + n]
+    return mix(out)
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -128,8 +129,7 @@ def membership(df: DataFrame, column: str, log2_bits: int = 26) -> bytes:
             .groupBy(F.bitmap_bucket_number("_c").alias("_b"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_c")).alias("_m")).collect())
     out = np.zeros((1 << log2_bits) // 8, np.uint8)
-    # buckets count from 1 and hold 32768 bits; cell 0 belongs to bucket 0 or 1
-    # depending on the function's sign rule, so the bits are placed by it.
+    # buckets of 32768 bits count from 1; value 0 has a bucket of its own
     for r in rows:
         m = np.frombuffer(bytes(r["_m"]), np.uint8)
         at = (r["_b"] - 1) * 4096

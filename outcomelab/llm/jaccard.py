@@ -16,8 +16,8 @@ then verified by their exact intersection.
   only choose the order, which is exact for any choice.
 * Prefix shingles are dealt by hash in compact blobs, a few bytes each; the
   number of shards grows with the input.
-* Whole sets travel for classes that have a candidate, found by a bit table of
-  fixed size, and are intersected inside the JVM.
+* Whole sets travel for classes that have a candidate, from one document of
+  each, found by a bit table of fixed size, and are intersected inside the JVM.
 
 Edge cases: NULL, empty or word-free text has ``n_shingles`` 0 and links with
 nothing (its component is its own id); a text of fewer than five words is one
@@ -34,8 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (batch, is_member, membership, mix, salted, shingle_set, ship, signed,
-                     stored)
+from .common import batch, is_member, membership, mix, salted, shingle_set, ship, signed, stored
 from .components import components
 
 HOT_IN_TASK = 4
@@ -200,19 +199,22 @@ def _pairs(pdf):
 
 
 def _sets(bits, hot):
-    """Whole sets of the classes that may have a candidate, once per task."""
+    """Whole sets of the documents that stand for a class with a candidate."""
     def run(batches):
         table = np.frombuffer(bits.value, np.uint8)
         seen: set[int] = set()
         for b in batches:
             rows = []
-            for t in b.column(0):
+            chosen = is_member(table, b.column(0).to_numpy().view(np.uint64))
+            for t in b.column(1).filter(pa.array(chosen)):
                 s = shingle_set(t.as_py())
                 f = fingerprint(s)
-                if len(s) and f not in seen and is_member(table, np.array([f], np.int64).view(np.uint64))[0]:
+                if len(s) and f not in seen:
                     seen.add(f)
-                    two, three = (mix(ordered(s, hot.value, o)) >> np.uint64(32) for o in (2, 3))
-                    rows.append((f, two.astype(np.uint32).view(np.int32), three.astype(np.uint32).view(np.int32), signed(s)))
+                    two, three = ((mix(ordered(s, hot.value, o)) >> np.uint64(32)).astype(np.uint32) for o in (2, 3))
+                    half = s.astype(np.uint32)
+                    rows.append((f, len(s), len(np.unique(half)) < len(s), *(
+                        x.view(np.int32) for x in (two, three, half, (s >> np.uint64(32)).astype(np.uint32)))))
                     if len(rows) >= 500:
                         yield _set_batch(rows)
                         rows = []
@@ -221,9 +223,40 @@ def _sets(bits, hot):
     return run
 
 
+_SET = "fp long, n long, clash boolean, p2 array<int>, p3 array<int>, lo array<int>, hi array<int>"
+
+
 def _set_batch(rows):
-    return batch(fp=(pa.int64(), [r[0] for r in rows]), p2=(pa.list_(pa.int32()), [r[1] for r in rows]),
-                 p3=(pa.list_(pa.int32()), [r[2] for r in rows]), s=(pa.list_(pa.int64()), [r[3] for r in rows]))
+    kinds = [pa.int64(), pa.int64(), pa.bool_()] + [pa.list_(pa.int32())] * 4
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)],
+                                      names=[x.split()[0] for x in _SET.split(", ")])
+
+
+def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that link. The lower halves of the shingles are intersected
+    first: their overlap can only be too large, but for sets in which two lower
+    halves clash. Pairs that a few false matches could decide are intersected
+    again in full."""
+    def joined(p, cols):
+        for x in ("a", "b"):
+            p = p.join(sets.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols]), x)
+        return p
+
+    shared = (joined(pairs, ["p2", "p3"]).where(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b"))
+              .select("a", "b"))
+    n = F.col("n_a") + F.col("n_b")
+    links = lambda both: 100 * both >= 80 * (n - both)
+    common = F.size(F.array_intersect("lo_a", "lo_b"))
+    first = (joined(shared, ["n", "clash", "lo"])
+             .select("a", "b", "n_a", "n_b", common.alias("both"), (F.col("clash_a") | F.col("clash_b")).alias("clash"))
+             .where(F.col("clash") | links(F.col("both")))
+             .select("a", "b", (F.col("clash") | ~links(F.col("both") - 2)).alias("unsure")).distinct())
+    first = stored(spark, first, "verified")
+    whole = lambda x: F.zip_with(f"lo_{x}", f"hi_{x}", lambda lo, hi: F.shiftleft(hi.cast("long"), 32).bitwiseOR(
+        lo.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+    again = joined(first.where("unsure").select("a", "b"), ["n", "lo", "hi"])
+    exact = again.where(links(F.size(F.array_intersect(whole("a"), whole("b"))))).select("a", "b")
+    return first.where(~F.col("unsure")).select("a", "b").unionByName(exact).distinct()
 
 
 def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -241,16 +274,11 @@ def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = dealt.groupBy("shard").applyInPandas(_pairs, "a long, b long").distinct()
     pairs = stored(spark, pairs, "pairs")
     ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    bits = spark.sparkContext.broadcast(membership(ends, "fp"))
-    sets = stored(spark, text.mapInArrow(_sets(bits, hot), "fp long, p2 array<int>, p3 array<int>, s array<long>"), "cand")
-    one = sets.dropDuplicates(["fp"])
-    side = lambda cols, x: one.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-    shared = (pairs.join(side(["p2", "p3"], "a"), "a").join(side(["p2", "p3"], "b"), "b")
-              .where(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b"))
-    both = shared.join(side(["s"], "a"), "a").join(side(["s"], "b"), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    linked = both.where(100 * common >= 80 * (F.size("s_a") + F.size("s_b") - common)).select("a", "b")
-    return profile, stored(spark, linked, "links")
+    chosen = (profile.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp")
+              .select(F.xxhash64("doc_id").alias("h")))
+    bits = spark.sparkContext.broadcast(membership(chosen, "h"))
+    sets = stored(spark, src.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(bits, hot), _SET), "cand")
+    return profile, stored(spark, _verified(spark, pairs, sets), "links")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
