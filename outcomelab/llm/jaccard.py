@@ -16,6 +16,11 @@ then verified by their exact intersection.
   only choose the order, which is exact for any choice.
 * Prefix shingles are dealt by hash in compact blobs, a few bytes each; the
   number of shards grows with the input.
+* A shingle of many classes does not give all their pairs. Its members are
+  first paired with the one that has the smallest share of shingles of its
+  own; then only members of different components are paired whose shingles
+  shared with any class are enough for a link. No link between components is
+  lost, and links inside a component need not be listed.
 * Whole sets travel for classes that have a candidate, from one document of
   each, found by a bit table of fixed size, and are intersected inside the JVM.
 
@@ -42,6 +47,7 @@ MAX_HOT = 1 << 18
 SHARD_SHINGLES = 2_000_000
 MIN_SHARDS = 64
 FLUSH_ENTRIES = 2_000_000
+RUN_ALL = 16
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -162,8 +168,8 @@ def _runs(sorted_values: np.ndarray):
 
 def _pairs(pdf):
     """Pairs of classes of one shard that share a prefix shingle and whose
-    sizes allow a link. Walks equal shingles with growing distance, vectorised;
-    sizes are sorted within a shingle, so the walk stops at the size bound."""
+    sizes allow a link, from shingles of up to ``RUN_ALL`` classes. Of a larger
+    one the members are given, once for each different set of members."""
     import pandas as pd
     cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
     size = cat("size", np.int32)
@@ -173,29 +179,27 @@ def _pairs(pdf):
     if len(tok):  # the same class from several tasks
         new = np.r_[True, (tok[1:] != tok[:-1]) | (fp[1:] != fp[:-1])]
         fp, n, tok = fp[new], n[new], tok[new]
-    got: list[np.ndarray] = []
-    held, at, step = 0, np.arange(len(tok)), 1
-
-    def fold():
-        return [np.unique(np.concatenate(got))] if got else []
-
+    first = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]]) if len(tok) else np.empty(0, np.int64)
+    count = np.diff(np.append(first, len(tok)))
+    runs: dict[bytes, int] = {}
+    for a, c in zip(first[count > RUN_ALL].tolist(), count[count > RUN_ALL].tolist()):
+        runs.setdefault(fp[a:a + c].tobytes(), a)
+    shard = int(pdf["shard"].iloc[0])
+    out = [pd.DataFrame({"run": shard << 33 | a, "a": fp[a:a + len(x) // 8], "b": np.int64(0), "n": n[a:a + len(x) // 8]})
+           for x, a in runs.items()]
     kind = np.dtype([("a", np.int64), ("b", np.int64)])
-    while len(at):
+    got, at, step = [], np.flatnonzero(np.repeat(count <= RUN_ALL, count)), 1
+    while len(at):  # sizes rise within a shingle, so a pair too far apart ends the walk
         at = at[at + step < len(tok)]
-        ok = (tok[at] == tok[at + step]) & (n[at] >= _need(n[at + step]))
-        at = at[ok]
-        if len(at):
-            x, y = fp[at], fp[at + step]
-            pair = np.empty(len(at), kind)
-            pair["a"], pair["b"] = np.minimum(x, y), np.maximum(x, y)
-            got.append(np.unique(pair))
-            held += len(got[-1])
-            if held > 1_000_000:
-                got = fold()
-                held = 0
+        at = at[(tok[at] == tok[at + step]) & (n[at] >= _need(n[at + step]))]
+        pair = np.empty(len(at), kind)
+        pair["a"], pair["b"] = np.minimum(fp[at], fp[at + step]), np.maximum(fp[at], fp[at + step])
+        got.append(np.unique(pair))
         step += 1
-    out = fold()
-    return pd.DataFrame({"a": out[0]["a"], "b": out[0]["b"]} if out else {"a": [], "b": []}).astype("int64")
+    if got:
+        pair = np.unique(np.concatenate(got))
+        out.append(pd.DataFrame({"run": np.int64(-1), "a": pair["a"], "b": pair["b"], "n": np.int64(0)}))
+    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("run", "a", "b", "n")}, dtype="int64")
 
 
 def _sets(bits, hot):
@@ -232,6 +236,12 @@ def _set_batch(rows):
                                       names=[x.split()[0] for x in _SET.split(", ")])
 
 
+def _whole(x: str):
+    """The shingles from their two halves."""
+    return F.zip_with(f"lo{x}", f"hi{x}", lambda lo, hi: F.shiftleft(hi.cast("long"), 32).bitwiseOR(
+        lo.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
 def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link. The lower halves of the shingles are intersected
     first: their overlap can only be too large, but for sets in which two lower
@@ -252,16 +262,45 @@ def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFra
              .where(F.col("clash") | links(F.col("both")))
              .select("a", "b", (F.col("clash") | ~links(F.col("both") - 2)).alias("unsure")).distinct())
     first = stored(spark, first, "verified")
-    whole = lambda x: F.zip_with(f"lo_{x}", f"hi_{x}", lambda lo, hi: F.shiftleft(hi.cast("long"), 32).bitwiseOR(
-        lo.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
     again = joined(first.where("unsure").select("a", "b"), ["n", "lo", "hi"])
-    exact = again.where(links(F.size(F.array_intersect(whole("a"), whole("b"))))).select("a", "b")
+    exact = again.where(links(F.size(F.array_intersect(_whole("_a"), _whole("_b"))))).select("a", "b")
     return first.where(~F.col("unsure")).select("a", "b").unionByName(exact).distinct()
 
 
+def _allowed(x: str, y: str):
+    """Sizes, and what each class shares with any other at all, allow a link:
+    the overlap must reach 4/9 of the sizes' sum."""
+    total = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return ((9 * (F.col(f"{x}.n") - F.col(f"{x}.own")) >= 4 * total)
+            & (9 * (F.col(f"{y}.n") - F.col(f"{y}.own")) >= 4 * total))
+
+
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Each member with the member of its run that has the least share of
+    shingles of its own: the copy nearest to what all copies have in common."""
+    hub = members.groupBy("run").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "fp", "n", "own")).alias("h"))
+    hub = hub.select("run", "h.fp", "h.n", "h.own").alias("y")
+    return (members.alias("x").join(hub, "run").where((F.col("x.fp") != F.col("y.fp")) & _allowed("x", "y"))
+            .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct())
+
+
+def _rest_pairs(members: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs of a run that are not in one component yet and may link."""
+    m = members.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = m.groupBy("run").agg(F.min("n").alias("least"))
+    m = m.join(least, "run").where(9 * (F.col("n") - F.col("own")) >= 4 * (F.col("n") + F.col("least")))
+    open_runs = m.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("run")
+    m = m.join(open_runs, "run", "left_semi").select("run", "fp", "n", "own", "root")
+    x, y = m.alias("x"), m.alias("y")
+    return (x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.fp") < F.col("y.fp"))
+                   & (F.col("x.root") != F.col("y.root")) & _allowed("x", "y"))
+            .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct())
+
+
 def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``profile(doc_id, n, fp)`` of every document, and the verified links
-    ``(a, b)`` between different classes (fingerprints)."""
+    """``profile(doc_id, n, fp)`` of every document, and verified links
+    ``(a, b)`` between different classes (fingerprints) that connect all
+    classes which any links connect."""
     ship(spark)
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = stored(spark, src.mapInArrow(_profile, "doc_id long, n long, fp long, hot long"), "sets")
@@ -269,35 +308,38 @@ def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     profile = profile.where("hot is null").select("doc_id", "n", "fp")
     total = profile.agg(F.sum("n")).first()[0] or 0
     shards = max(MIN_SHARDS, -(-int(total) // SHARD_SHINGLES))
-    text = src.select("text")
-    dealt = text.mapInArrow(_deal(hot, shards), "shard int, fp binary, n binary, size binary, tok binary")
-    pairs = dealt.groupBy("shard").applyInPandas(_pairs, "a long, b long").distinct()
-    pairs = stored(spark, pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    dealt = src.select("text").mapInArrow(_deal(hot, shards), "shard int, fp binary, n binary, size binary, tok binary")
+    runs = stored(spark, dealt.groupBy("shard").applyInPandas(_pairs, "run long, a long, b long, n long"), "runs")
+    pairs = runs.where("run < 0").select("a", "b").distinct()
+    members = runs.where("run >= 0").select("run", F.col("a").alias("fp"), "n")
+    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).unionByName(members.select("fp")).distinct()
     chosen = (profile.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp")
               .select(F.xxhash64("doc_id").alias("h")))
     bits = spark.sparkContext.broadcast(membership(chosen, "h"))
     sets = stored(spark, src.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(bits, hot), _SET), "cand")
-    return profile, stored(spark, _verified(spark, pairs, sets), "links")
+    # shingles that one class alone has, of the classes in large runs
+    alone = (sets.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", F.explode(_whole("")).alias("t"))
+             .groupBy("t").agg(F.min("fp").alias("fp"), F.max("fp").alias("last")).where("fp = last")
+             .groupBy("fp").agg(F.count(F.lit(1)).alias("own")))
+    members = stored(spark, members.join(alone, "fp", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
+    near = _verified(spark, pairs.unionByName(_hub_pairs(members)).distinct(), sets)
+    near = stored(spark, near, "links")
+    rest = _verified(spark, _rest_pairs(members, components(spark, near)), sets)
+    return profile, stored(spark, near.unionByName(rest).distinct(), "links")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of every document.
-
-    ``n_links`` counts the other classes that the document's class links to."""
+    """``doc_id, n_shingles, component_id`` of every document."""
     profile, linked = links(spark, docs)
     root = components(spark, linked)
-    ends = linked.select(F.col("a").alias("fp")).unionByName(linked.select(F.col("b").alias("fp")))
-    degree = ends.groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     cls = (profile.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"))
            .join(root.select(F.col("node").alias("fp"), "root"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
     comp = cls.groupBy("root").agg(F.min("least").alias("component_id"))
-    cls = cls.join(comp, "root").join(degree, "fp", "left").select("fp", "component_id", "n_links")
-    return (profile.join(cls.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("n") > 0), "left")
+    cls = cls.join(comp, "root").select(F.col("fp").alias("_fp"), "component_id")
+    return (profile.join(cls, (F.col("fp") == F.col("_fp")) & (F.col("n") > 0), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
