@@ -17,10 +17,10 @@ then verified by their exact intersection.
 * Prefix shingles are dealt by hash in compact blobs, a few bytes each; the
   number of shards grows with the input.
 * A shingle of many classes does not give all their pairs. Its members are
-  first paired with the one that has the smallest share of shingles of its
-  own; then only members of different components are paired whose shingles
-  shared with any class are enough for a link. No link between components is
-  lost, and links inside a component need not be listed.
+  first paired with a hub, the one that has the smallest share of shingles of
+  its own; then only members of different components are paired for which the
+  hub's shingles that neither lacks leave room for a link. No link between
+  components is lost, and links inside a component need not be listed.
 * Whole sets travel for classes that have a candidate, from one document of
   each, found by a bit table of fixed size, and are intersected inside the JVM.
 
@@ -275,26 +275,36 @@ def _allowed(x: str, y: str):
             & (9 * (F.col(f"{y}.n") - F.col(f"{y}.own")) >= 4 * total))
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """Each member with the member of its run that has the least share of
-    shingles of its own: the copy nearest to what all copies have in common."""
-    hub = members.groupBy("run").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "fp", "n", "own")).alias("h"))
-    hub = hub.select("run", "h.fp", "h.n", "h.own").alias("y")
-    return (members.alias("x").join(hub, "run").where((F.col("x.fp") != F.col("y.fp")) & _allowed("x", "y"))
-            .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct())
+def _with_hubs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each class of the large runs with its hub, the member of its runs that
+    has the least share of shingles of its own (the copy nearest to what all
+    copies have in common), and the hub's shingles that it lacks."""
+    hub = members.groupBy("run").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "fp", "n")).alias("h"))
+    one = (members.join(hub, "run").groupBy("fp").agg(F.min("h").alias("h"), F.first("n").alias("n"), F.first("own").alias("own"))
+           .select("fp", "n", "own", F.col("h.fp").alias("hub"), F.col("h.n").alias("hub_n")))
+    lo = sets.groupBy("fp").agg(F.first("lo").alias("lo")).join(one.select("fp").distinct(), "fp", "left_semi")
+    return (one.join(lo, "fp").join(lo.select(F.col("fp").alias("hub"), F.col("lo").alias("hub_lo")), "hub")
+            .select("fp", "n", "own", "hub", "hub_n", F.array_except("hub_lo", "lo").alias("lacks")))
 
 
-def _rest_pairs(members: DataFrame, root: DataFrame) -> DataFrame:
-    """Pairs of a run that are not in one component yet and may link."""
-    m = members.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = m.groupBy("run").agg(F.min("n").alias("least"))
-    m = m.join(least, "run").where(9 * (F.col("n") - F.col("own")) >= 4 * (F.col("n") + F.col("least")))
-    open_runs = m.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("run")
-    m = m.join(open_runs, "run", "left_semi").select("run", "fp", "n", "own", "root")
+def _rest_pairs(members: DataFrame, hubs: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs of a run that are not in one component yet and may link. Classes
+    of one hub share at most the hub's shingles that neither lacks, and others
+    that are not their own."""
+    m = hubs.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     x, y = m.alias("x"), m.alias("y")
-    return (x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.fp") < F.col("y.fp"))
-                   & (F.col("x.root") != F.col("y.root")) & _allowed("x", "y"))
-            .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct())
+    lacking = F.size("x.lacks") + F.size("y.lacks") - F.size(F.array_intersect("x.lacks", "y.lacks"))
+    other = lambda c: F.col(f"{c}.n") - F.col(f"{c}.own") - F.col(f"{c}.hub_n") + F.size(f"{c}.lacks")
+    most = F.col("x.hub_n") - lacking + F.greatest(F.least(other("x"), other("y")), F.lit(0)) + 2  # 2: false matches of half shingles
+    cross = (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _allowed("x", "y")
+    ends = (F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+    same = x.join(y, (F.col("x.hub") == F.col("y.hub")) & cross & (9 * most >= 4 * (F.col("x.n") + F.col("y.n")))).select(*ends)
+    each = members.select("run", "fp").join(m.select("fp", "n", "own", "hub", "root"), "fp")
+    several = each.groupBy("run").agg(F.min("hub").alias("lo"), F.max("hub").alias("hi")).where("lo < hi").select("run")
+    each = each.join(several, "run", "left_semi")
+    x, y = each.alias("x"), each.alias("y")
+    apart = x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.hub") != F.col("y.hub")) & cross).select(*ends)
+    return same.unionByName(apart).distinct()
 
 
 def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -322,9 +332,11 @@ def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .groupBy("t").agg(F.min("fp").alias("fp"), F.max("fp").alias("last")).where("fp = last")
              .groupBy("fp").agg(F.count(F.lit(1)).alias("own")))
     members = stored(spark, members.join(alone, "fp", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
-    near = _verified(spark, pairs.unionByName(_hub_pairs(members)).distinct(), sets)
-    near = stored(spark, near, "links")
-    rest = _verified(spark, _rest_pairs(members, components(spark, near)), sets)
+    hubs = stored(spark, _with_hubs(members, sets), "hubs")
+    star = hubs.where("fp <> hub").select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"))
+    near = stored(spark, _verified(spark, pairs.unionByName(star).distinct(), sets), "links")
+    rest = stored(spark, _rest_pairs(members, hubs, components(spark, near)), "rest")
+    rest = _verified(spark, rest, sets)
     return profile, stored(spark, near.unionByName(rest).distinct(), "links")
 
 
