@@ -57,8 +57,9 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
     # carries them through without a second join
     out = (folded.join(stats, keys)
            .groupBy(*keys, *stat_cols)
-           .agg(F.min(F.when(x >= lo, x)).alias("whisker_low"),
-                F.max(F.when(x <= hi, x)).alias("whisker_high"),
+           # a whisker never ends inside the box
+           .agg(F.least(F.min(F.when(x >= lo, x)), F.first("q1")).alias("whisker_low"),
+                F.greatest(F.max(F.when(x <= hi, x)), F.first("q3")).alias("whisker_high"),
                 F.sum(F.when((x < lo) | (x > hi), F.col("_w")).otherwise(F.lit(0)))
                 .cast("bigint").alias("n_outliers"),
                 F.min(x).alias("min_value"), F.max(x).alias("max_value")))

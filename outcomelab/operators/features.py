@@ -114,24 +114,22 @@ def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFr
 
 
 def gamma_scale(df: DataFrame, vec: str) -> DataFrame:
-    """Kernel width 'scale': 1 / (d * var(X)), var over every element of
-    the feature matrix (population), d = features per row. ``vec`` is an
-    ML vector or a numeric array. One pass of per-row partial sums."""
+    """Kernel width 'scale': 1 / (d * var(X)), var over every non-NULL
+    element of the feature matrix (population), d = features per row. ``vec``
+    is an ML vector or a numeric array. The variance is the engine's merged
+    one, stable for values far from zero; it is NULL without values, and the
+    width is NULL when all values are equal."""
     from pyspark.sql.types import ArrayType
     c = F.col(vec)
     if not isinstance(df.schema[vec].dataType, ArrayType):
         from pyspark.ml.functions import vector_to_array
         c = vector_to_array(c)
-    a = F.transform(c, lambda x: x.cast("double"))
-    s1 = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
-    s2 = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x)
-    agg = df.agg(F.sum(s1).alias("s1"), F.sum(s2).alias("s2"),
-                 F.sum(F.size(c)).alias("n_values"), F.max(F.size(c)).alias("dim"))
-    mean = F.col("s1") / F.col("n_values")
-    var = F.col("s2") / F.col("n_values") - mean * mean
+    agg = (df.select(F.size(c).alias("_d"), F.explode_outer(c).alias("_v"))
+           .withColumn("_x", F.col("_v").cast("double"))
+           .agg(F.var_pop("_x").alias("variance"), F.count("_x").alias("n_values"), F.max("_d").alias("dim")))
     return agg.select(F.col("n_values").cast("bigint").alias("n_values"),
-                      F.col("dim").cast("bigint").alias("dim"), var.alias("variance"),
-                      (F.lit(1.0) / (F.col("dim") * var)).alias("gamma"))
+                      F.col("dim").cast("bigint").alias("dim"), "variance",
+                      F.when(F.col("variance") > 0, F.lit(1.0) / (F.col("dim") * F.col("variance"))).alias("gamma"))
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",

@@ -134,44 +134,28 @@ def class_report(df: DataFrame, truth: str, pred: str, classes: Sequence,
     return wide.select(unpivot_rows(*rows))
 
 
-# Up to this many classes the confusion table is one aggregate with a count
-# per cell; above it (k^2 expressions would overflow generated code) it is a
-# grouped count joined onto the literal k x k grid.
-WIDE_CLASS_LIMIT = 16
+def _class_order(col, classes: Sequence):
+    """Position of a value in the class list, compared as typed values."""
+    return F.coalesce(*[F.when(col == F.lit(c), F.lit(i).cast("bigint")) for i, c in enumerate(classes)])
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence,
-                     wide_limit: int = WIDE_CLASS_LIMIT) -> DataFrame:
+def confusion_matrix(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:
     """Dense k x k table (true, predicted, n) in the fixed class order.
 
-    Small k: one aggregate with a count per cell, unpivoted by a generator;
-    empty cells are present with n = 0 and no join is needed. Large k: a
-    grouped count (at most k^2 rows after partial aggregation) left-joined
-    onto the literal grid, whose size the class list bounds.
+    One grouped count over the typed columns (at most a row per pair of values
+    after partial aggregation); the few grouped rows get their positions in
+    the class list and are left-joined onto the literal grid, whose size the
+    class list bounds. Values outside the list are not counted.
     """
-    if len(classes) > wide_limit:
-        return _confusion_long(df, truth, pred, classes)
-    t, p = F.col(truth), F.col(pred)
-    aggs, rows = [], []
-    for i, a in enumerate(classes):
-        for j, b in enumerate(classes):
-            aggs.append(F.count(F.when((t == F.lit(a)) & (p == F.lit(b)), 1)).alias(f"_c_{i}_{j}"))
-            rows.append([("true_label", F.lit(str(a))), ("true_order", F.lit(i).cast("bigint")),
-                         ("pred_label", F.lit(str(b))), ("pred_order", F.lit(j).cast("bigint")),
-                         ("n", F.col(f"_c_{i}_{j}"))])
-    return df.agg(*aggs).select(unpivot_rows(*rows))
-
-
-def _confusion_long(df: DataFrame, truth: str, pred: str, classes: Sequence) -> DataFrame:
-    labels = [str(c) for c in classes]
-    grid = df.sparkSession.range(1).select(unpivot_rows(*[
-        [("true_label", F.lit(a)), ("true_order", F.lit(i).cast("bigint")),
-         ("pred_label", F.lit(b)), ("pred_order", F.lit(j).cast("bigint"))]
-        for i, a in enumerate(labels) for j, b in enumerate(labels)]))
-    counts = (df.groupBy(F.col(truth).cast("string").alias("_t"), F.col(pred).cast("string").alias("_p"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    joined = grid.join(counts, (grid["true_label"] == counts["_t"]) & (grid["pred_label"] == counts["_p"]),
-                       "left")
+    labels = F.lit([str(c) for c in classes])
+    grid = (df.sparkSession.range(1).select(F.posexplode(labels).alias("true_order", "true_label"))
+            .select(F.col("true_order").cast("bigint").alias("true_order"), "true_label",
+                    F.posexplode(labels).alias("pred_order", "pred_label"))
+            .withColumn("pred_order", F.col("pred_order").cast("bigint")))
+    counts = (df.groupBy(F.col(truth).alias("_t"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+              .groupBy(_class_order(F.col("_t"), classes).alias("_i"), _class_order(F.col("_p"), classes).alias("_j"))
+              .agg(F.sum("_n").alias("_n")))
+    joined = grid.join(counts, (F.col("true_order") == F.col("_i")) & (F.col("pred_order") == F.col("_j")), "left")
     return joined.select("true_label", "true_order", "pred_label", "pred_order",
                          F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"))
 

@@ -198,8 +198,8 @@ q AS (SELECT era, l_returnflag, count(*) AS n, quantile_cont(v, 0.25) AS q1,
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT f.era, f.l_returnflag, CAST(f.n AS BIGINT) AS n, round(f.q1, {D}) AS q1, round(f.med, {D}) AS median,
        round(f.q3, {D}) AS q3, round(f.iqr, {D}) AS iqr, round(f.lo, {D}) AS lo_fence, round(f.hi, {D}) AS hi_fence,
-       round(min(CASE WHEN s.v >= f.lo THEN s.v END), {D}) AS whisker_low,
-       round(max(CASE WHEN s.v <= f.hi THEN s.v END), {D}) AS whisker_high,
+       round(least(min(CASE WHEN s.v >= f.lo THEN s.v END), f.q1), {D}) AS whisker_low,
+       round(greatest(max(CASE WHEN s.v <= f.hi THEN s.v END), f.q3), {D}) AS whisker_high,
        CAST(sum(CASE WHEN s.v < f.lo OR s.v > f.hi THEN 1 ELSE 0 END) AS BIGINT) AS n_outliers,
        round(min(s.v), {D}) AS min_value, round(max(s.v), {D}) AS max_value
 FROM f JOIN src s ON s.era = f.era AND s.l_returnflag = f.l_returnflag

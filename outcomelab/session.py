@@ -39,9 +39,9 @@ def build_session(master: str | None = None, app: str = "outcomelab",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of
-    our own is made and registered, so that later ``checkpoint()`` calls
-    and scratch tables land in the same place.
+    Read from the session. Only on a local master, and only when it is unset,
+    a folder of our own is made and registered; on a cluster executors would
+    each write to their own disk, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
@@ -51,9 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         # named in the session's configuration but not yet registered
         sc.setCheckpointDir(root)
         return sc.getCheckpointDir() or root
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="outcomelab-ckpt-")
     sc.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
     return sc.getCheckpointDir() or root
 
 

@@ -29,7 +29,7 @@ def scrape_metrics(text_df: DataFrame, section: str | None,
     body = F.col(text_col)
     if section is not None:
         idx = F.instr(body, section)
-        body = F.when(idx > 0, F.substring(body, idx + len(section), 1 << 30))
+        body = F.when(idx > 0, F.substring(body, idx + len(section), F.length(body)))
     cols = [extract_number(body, pat).alias(name) for name, pat in patterns.items()]
     keep = [c for c in text_df.columns if c != text_col]
     return text_df.select(*keep, *cols)

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from outcomelab.functions.buckets import TIER_EDGES, TIER_LABELS
@@ -196,14 +197,38 @@ def test_auc_matches_pairwise_brute_force(spark):
     assert abs(got[-1] - sum(want) / k) < 1e-12
 
 
-def test_confusion_long_path_equals_wide(spark):
-    df = spark.range(500).select((F.col("id") % 7).cast("double").alias("t"),
-                                 ((F.col("id") * 3) % 5).cast("double").alias("p"))
-    classes = [float(i) for i in range(8)]
-    wide = metrics.confusion_matrix(df, "t", "p", classes)
-    long = metrics.confusion_matrix(df, "t", "p", classes, wide_limit=2)
-    assert sorted(wide.collect()) == sorted(long.collect())
-    assert long.count() == 64 and long.agg(F.sum("n")).first()[0] == 500
+@pytest.mark.parametrize("kind,scale,k", [("int", 1, 20), ("double", 1e7, 20), ("double", 1.0, 200), ("int", 1, 5)])
+def test_confusion_compares_typed_values(spark, kind, scale, k):
+    value = lambda c: (c * F.lit(scale)).cast(kind)
+    df = spark.range(1000).select(value(F.col("id") % k).alias("t"), value((F.col("id") * 3) % k).alias("p"))
+    got = metrics.confusion_matrix(df, "t", "p", [float(i) * scale for i in range(k)])
+    rows = {(r.true_order, r.pred_order): r.n for r in got.collect()}
+    assert len(rows) == k * k and sum(rows.values()) == 1000
+    assert rows[1, 3 % k] == sum(1 for i in range(1000) if i % k == 1 and i * 3 % k == 3 % k)
+
+
+def test_confusion_of_booleans(spark):
+    df = spark.createDataFrame([(True, False), (True, True), (False, False)], "t boolean, p boolean")
+    got = {(r.true_order, r.pred_order): r.n for r in metrics.confusion_matrix(df, "t", "p", [False, True]).collect()}
+    assert got == {(0, 0): 1, (0, 1): 0, (1, 0): 1, (1, 1): 1}
+
+
+def test_whisker_stays_outside_the_box(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,), (10.0,), (10.0,)], "v double")
+    r = distribution.boxplot_stats(df, [], "v").first()
+    assert (r.q1, r.whisker_low, r.whisker_high, r.n_outliers) == (7.5, 7.5, 10.0, 1)
+
+
+def test_gamma_scale_far_from_zero_nulls_and_constants(spark):
+    from outcomelab.operators import features
+    far = spark.createDataFrame([([1e8, 1e8 + 1],), ([1e8 + 2, 1e8 + 1],)], "x array<double>")
+    r = features.gamma_scale(far, "x").first()
+    assert abs(r.variance - 0.5) < 1e-9 and abs(r.gamma - 1.0) < 1e-9 and (r.n_values, r.dim) == (4, 2)
+    some = spark.createDataFrame([([1.0, None],), ([3.0, 5.0],)], "x array<double>")
+    r = features.gamma_scale(some, "x").first()
+    assert r.n_values == 3 and abs(r.variance - 8 / 3) < 1e-12
+    flat = spark.createDataFrame([([2.0, 2.0],)], "x array<double>")
+    assert features.gamma_scale(flat, "x").first().gamma is None
 
 
 def test_metrics_on_empty_predictions(spark):
