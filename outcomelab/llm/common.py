@@ -94,14 +94,71 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+# Word hashes straight from the bytes of a text: a sum of a number per byte value
+# times a power of an odd constant, freed of the word's place by the inverse power.
+_ODD = 0x9E3779B97F4A7C15
+_CELL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
+_SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
+BLOCK_BYTES = 1 << 20
+LONG_WORD = 256
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        for i, base in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            p = np.full(size, base, np.uint64)
+            p[0] = 1
+            _POWERS[i] = np.cumprod(p)
+    return _POWERS
+
+
+def _blocks(b: bytes):
+    """Pieces of about ``BLOCK_BYTES`` that do not cut a word where a blank or a line end allows it."""
+    at = 0
+    while len(b) - at > BLOCK_BYTES:
+        cut = max(b.rfind(c, at, at + BLOCK_BYTES) for c in (b" ", b"\n")) + 1
+        if cut <= at:
+            break
+        yield b[at:cut]
+        at = cut
+    yield b[at:]
+
+
+def text_word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order, without a Python object
+    per word; not the values of ``word_hashes``. Words of more than
+    ``LONG_WORD`` bytes are hashed by xxh3."""
+    if not text:
+        return np.empty(0, np.uint64)
+    whole = text.encode("utf-8")
+    out = []
+    for b in _blocks(whole.lower() if lower else whole):
+        raw = np.frombuffer(b, np.uint8)
+        power, inverse = _powers(len(raw))
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]])))
+        start, end = edge[0::2], edge[1::2]
+        if len(start) == 0:
+            continue
+        term = _CELL[raw] * power[:len(raw)]
+        acc = np.cumsum(term)
+        h = mix((acc[end - 1] - acc[start] + term[start]) * inverse[start] + (end - start).astype(np.uint64))
+        for i in np.flatnonzero(end - start > LONG_WORD):
+            h[i] = xxhash.xxh3_64_intdigest(b[start[i]:end[i]])
+        out.append(h)
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     """Sorted distinct k-word shingles of the lower-cased text; a shorter text
     is one shingle, a text without words has none."""
-    ws = words(text, True)
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = word_hashes(ws)
-    return np.unique(rolling(h, min(k, len(ws))))
+    h = text_word_hashes(text, True)
+    if not len(h):
+        return h
+    s = rolling(h, min(k, len(h)))
+    s.sort()
+    return s[np.r_[True, s[1:] != s[:-1]]]
 
 
 def signed(x: np.ndarray) -> np.ndarray:

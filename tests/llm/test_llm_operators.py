@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from outcomelab.llm import (decontam, html_text, jaccard, licenses, packing, pii, pitman_yor, quality, substring, tok,
                             token_output)
+from outcomelab.llm import common
 from outcomelab.llm.common import word_hashes, words
 
 from conftest import SF001
@@ -120,6 +121,20 @@ def test_token_output(spark, docs, rows, none):
     assert token_output.round_trip(spark, none).count() == 0
 
 
+def test_word_hashes_of_bytes_do_not_depend_on_place(monkeypatch):
+    rng = random.Random(1)
+    ws = ["".join(rng.choice("abcdé%Z") for _ in range(rng.choice([1, 2, 3, 5, 9, 300]))) for _ in range(3000)]
+    text = " \t\n".join(ws)
+    h = common.text_word_hashes(text)
+    at = dict(zip(ws, h.tolist()))
+    assert len(h) == len(ws) and [at[w] for w in ws] == h.tolist() and len(set(at.values())) == len(at)
+    assert (common.text_word_hashes("  " + text + "\r") == h).all()
+    monkeypatch.setattr(common, "BLOCK_BYTES", 500)
+    assert (common.text_word_hashes(text) == h).all()
+    assert (common.text_word_hashes("ABC É", True) == common.text_word_hashes("abc É")).all()
+    assert len(common.text_word_hashes(" \n\t")) == len(common.text_word_hashes(None)) == 0
+
+
 def test_jaccard(spark, docs, rows, none):
     sets = []
     for _, t, *_ in rows:
