@@ -21,8 +21,10 @@ then verified by their exact intersection.
   its own; then only members of different components are paired for which the
   hub's shingles that neither lacks leave room for a link. No link between
   components is lost, and links inside a component need not be listed.
-* Whole sets travel for classes that have a candidate, from one document of
-  each, found by a bit table of fixed size, and are intersected inside the JVM.
+* A class with more than a fifth of shingles that no other class with a
+  candidate has links with nothing. Whole sets travel for the others, from one
+  document of each, found by a bit table of fixed size, and are intersected
+  inside the JVM.
 
 Edge cases: NULL, empty or word-free text has ``n_shingles`` 0 and links with
 nothing (its component is its own id); a text of fewer than five words is one
@@ -59,13 +61,18 @@ def _need(n):
     return (4 * n + 4) // 5
 
 
-def ordered(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], order: int) -> np.ndarray:
+def _hot_rank(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How frequent each shingle of a sorted set is, 0 for those not broadcast."""
+    if not len(hot[0]):
+        return np.zeros(len(s), np.uint64)
+    at = np.minimum(np.searchsorted(hot[0], s), len(hot[0]) - 1)
+    return np.where(hot[0][at] == s, hot[1][at], 0).astype(np.uint64)
+
+
+def ordered(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], order: int, rank: np.ndarray | None = None) -> np.ndarray:
     """The prefix of a sorted set in one of the global orders."""
-    key = salted(s, order) >> np.uint64(7)
-    if len(hot[0]):
-        at = np.minimum(np.searchsorted(hot[0], s), len(hot[0]) - 1)
-        is_hot = hot[0][at] == s
-        key = key | (np.where(is_hot, hot[1][at], 0).astype(np.uint64) << np.uint64(57))
+    rank = _hot_rank(s, hot) if rank is None else rank
+    key = salted(s, order) >> np.uint64(7) | rank << np.uint64(57)
     p = len(s) - _need(len(s)) + 1
     if p < len(s):
         return s[np.argpartition(key, p - 1)[:p]]
@@ -122,8 +129,17 @@ def _hot_table(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return t[k], c[k]
 
 
-def _deal(hot, shards):
-    """Prefix shingles of every class of this task, as one blob per shard."""
+def _texts(b, bits):
+    """The texts of a batch ``(h, text)``, of the documents in the bit table."""
+    if bits is None:
+        return b.column(1)
+    table = np.frombuffer(bits.value, np.uint8)
+    return b.column(1).filter(pa.array(is_member(table, b.column(0).to_numpy().view(np.uint64))))
+
+
+def _deal(shards, hot=None, bits=None):
+    """Shingles of every class of this task, as one blob per shard: the prefixes
+    under ``hot``, or whole sets of the documents in the bit table."""
     def run(batches):
         seen: set[int] = set()
         docs: list[tuple[int, int, np.ndarray]] = []
@@ -146,12 +162,12 @@ def _deal(hot, shards):
                             tok=(pa.binary(), [tok[part].tobytes()]))
 
         for b in batches:
-            for t in b.column(0):
+            for t in _texts(b, bits):
                 s = shingle_set(t.as_py())
                 f = fingerprint(s)
                 if len(s) and f not in seen:
                     seen.add(f)
-                    docs.append((f, len(s), ordered(s, hot.value, 1)))
+                    docs.append((f, len(s), s if hot is None else ordered(s, hot.value, 1)))
                     held += len(docs[-1][2])
                     if held >= FLUSH_ENTRIES:
                         yield from blobs()
@@ -161,6 +177,33 @@ def _deal(hot, shards):
     return run
 
 
+_BLOB = "shard int, fp binary, n binary, size binary, tok binary"
+
+
+def _entries(pdf):
+    """``fp, n, tok`` of a shard, sorted by shingle, size and class; the same
+    class from several tasks counts once."""
+    cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
+    size = cat("size", np.int32)
+    fp, n, tok = np.repeat(cat("fp", np.int64), size), np.repeat(cat("n", np.int32), size), cat("tok", np.uint32)
+    k = np.lexsort((fp, n, tok))
+    fp, n, tok = fp[k], n[k], tok[k]
+    if len(tok):
+        new = np.r_[True, (tok[1:] != tok[:-1]) | (fp[1:] != fp[:-1])]
+        fp, n, tok = fp[new], n[new], tok[new]
+    return fp, n, tok
+
+
+def _alone(pdf):
+    """Per class the shingles of this shard that no other class has; two
+    shingles that look alike here make it fewer, never more."""
+    import pandas as pd
+    fp, _, tok = _entries(pdf)
+    change = np.r_[True, tok[1:] != tok[:-1], True]
+    who, count = np.unique(fp[change[1:] & change[:-1]], return_counts=True)
+    return pd.DataFrame({"fp": who, "own": count.astype(np.int64)})
+
+
 def _runs(sorted_values: np.ndarray):
     at = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]])
     return sorted_values[at], [slice(a, z) for a, z in zip(at, np.append(at[1:], len(sorted_values)))]
@@ -171,14 +214,7 @@ def _pairs(pdf):
     sizes allow a link, from shingles of up to ``RUN_ALL`` classes. Of a larger
     one the members are given, once for each different set of members."""
     import pandas as pd
-    cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
-    size = cat("size", np.int32)
-    fp, n, tok = np.repeat(cat("fp", np.int64), size), np.repeat(cat("n", np.int32), size), cat("tok", np.uint32)
-    k = np.lexsort((fp, n, tok))
-    fp, n, tok = fp[k], n[k], tok[k]
-    if len(tok):  # the same class from several tasks
-        new = np.r_[True, (tok[1:] != tok[:-1]) | (fp[1:] != fp[:-1])]
-        fp, n, tok = fp[new], n[new], tok[new]
+    fp, n, tok = _entries(pdf)
     first = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]]) if len(tok) else np.empty(0, np.int64)
     count = np.diff(np.append(first, len(tok)))
     runs: dict[bytes, int] = {}
@@ -203,22 +239,21 @@ def _pairs(pdf):
 
 
 def _sets(bits, hot):
-    """Whole sets of the documents that stand for a class with a candidate."""
+    """The lower halves of the shingles, and the other two prefixes, of the
+    documents that stand for a class with a candidate."""
     def run(batches):
-        table = np.frombuffer(bits.value, np.uint8)
         seen: set[int] = set()
         for b in batches:
             rows = []
-            chosen = is_member(table, b.column(0).to_numpy().view(np.uint64))
-            for t in b.column(1).filter(pa.array(chosen)):
+            for t in _texts(b, bits):
                 s = shingle_set(t.as_py())
                 f = fingerprint(s)
                 if len(s) and f not in seen:
                     seen.add(f)
-                    two, three = ((mix(ordered(s, hot.value, o)) >> np.uint64(32)).astype(np.uint32) for o in (2, 3))
+                    rank = _hot_rank(s, hot.value)
+                    two, three = ((mix(ordered(s, hot.value, o, rank)) >> np.uint64(32)).astype(np.uint32) for o in (2, 3))
                     half = s.astype(np.uint32)
-                    rows.append((f, len(s), len(np.unique(half)) < len(s), *(
-                        x.view(np.int32) for x in (two, three, half, (s >> np.uint64(32)).astype(np.uint32)))))
+                    rows.append((f, len(s), len(np.unique(half)) < len(s), *(x.view(np.int32) for x in (two, three, half))))
                     if len(rows) >= 500:
                         yield _set_batch(rows)
                         rows = []
@@ -227,27 +262,42 @@ def _sets(bits, hot):
     return run
 
 
-_SET = "fp long, n long, clash boolean, p2 array<int>, p3 array<int>, lo array<int>, hi array<int>"
+_SET = "fp long, n long, clash boolean, p2 array<int>, p3 array<int>, lo array<int>"
 
 
 def _set_batch(rows):
-    kinds = [pa.int64(), pa.int64(), pa.bool_()] + [pa.list_(pa.int32())] * 4
+    kinds = [pa.int64(), pa.int64(), pa.bool_()] + [pa.list_(pa.int32())] * 3
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)],
                                       names=[x.split()[0] for x in _SET.split(", ")])
 
 
-def _whole(x: str):
-    """The shingles from their two halves."""
-    return F.zip_with(f"lo{x}", f"hi{x}", lambda lo, hi: F.shiftleft(hi.cast("long"), 32).bitwiseOR(
-        lo.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+def _whole_sets(bits):
+    """All shingles in full of the documents that stand for a class."""
+    def run(batches):
+        for b in batches:
+            for t in _texts(b, bits):
+                s = shingle_set(t.as_py())
+                yield batch(fp=(pa.int64(), [fingerprint(s)]), s=(pa.list_(pa.int64()), [signed(s)]))
+    return run
+
+
+def _standing(spark: SparkSession, profile: DataFrame, classes: DataFrame):
+    """Bit table of one document of each of the classes ``fp``."""
+    chosen = (profile.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+              .join(classes.select("fp").distinct(), "fp").select(F.xxhash64("doc_id").alias("h")))
+    return spark.sparkContext.broadcast(membership(chosen, "h"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("fp"))
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, src: DataFrame, profile: DataFrame) -> DataFrame:
     """The pairs that link. The lower halves of the shingles are intersected
     first: their overlap can only be too large, but for sets in which two lower
     halves clash. Pairs that a few false matches could decide are intersected
-    again in full."""
-    def joined(p, cols):
+    again in full, by sets made anew from the texts."""
+    def joined(p, cols, sets=sets):
         for x in ("a", "b"):
             p = p.join(sets.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols]), x)
         return p
@@ -262,9 +312,25 @@ def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFra
              .where(F.col("clash") | links(F.col("both")))
              .select("a", "b", (F.col("clash") | ~links(F.col("both") - 2)).alias("unsure")).distinct())
     first = stored(spark, first, "verified")
-    again = joined(first.where("unsure").select("a", "b"), ["n", "lo", "hi"])
-    exact = again.where(links(F.size(F.array_intersect(_whole("_a"), _whole("_b"))))).select("a", "b")
-    return first.where(~F.col("unsure")).select("a", "b").unionByName(exact).distinct()
+    sure, again = first.where(~F.col("unsure")).select("a", "b"), first.where("unsure").select("a", "b")
+    if again.isEmpty():
+        return sure
+    whole = src.mapInArrow(_whole_sets(_standing(spark, profile, _ends(again))), "fp long, s array<long>").distinct()
+    size = profile.select("fp", "n").distinct()
+    exact = (joined(joined(again, ["n"], size), ["s"], whole)
+             .where(links(F.size(F.array_intersect("s_a", "s_b")))).select("a", "b"))
+    return sure.unionByName(exact).distinct()
+
+
+def _may_link(spark: SparkSession, src: DataFrame, profile: DataFrame, classes: DataFrame, shards: int) -> DataFrame:
+    """Of the classes with a candidate, ``fp, n, own`` (shingles that no other of
+    them has) of those that can link at all: a linked set shares 0.8 of its own."""
+    classes = classes.distinct()
+    whole = src.mapInArrow(_deal(shards, bits=_standing(spark, profile, classes)), _BLOB)
+    alone = (whole.groupBy("shard").applyInPandas(_alone, "fp long, own long")
+             .groupBy("fp").agg(F.sum("own").alias("own")))
+    return (profile.where("n > 0").select("fp", "n").distinct().join(classes, "fp", "left_semi").join(alone, "fp", "left")
+            .withColumn("own", F.coalesce("own", F.lit(0))).where("5 * own <= n"))
 
 
 def _allowed(x: str, y: str):
@@ -312,31 +378,29 @@ def links(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``(a, b)`` between different classes (fingerprints) that connect all
     classes which any links connect."""
     ship(spark)
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = stored(spark, src.mapInArrow(_profile, "doc_id long, n long, fp long, hot long"), "sets")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    src = docs.select(F.xxhash64("doc_id").alias("h"), "text")
+    profile = stored(spark, docs.mapInArrow(_profile, "doc_id long, n long, fp long, hot long"), "sets")
     hot = spark.sparkContext.broadcast(_hot_table(profile))
     profile = profile.where("hot is null").select("doc_id", "n", "fp")
     total = profile.agg(F.sum("n")).first()[0] or 0
     shards = max(MIN_SHARDS, -(-int(total) // SHARD_SHINGLES))
-    dealt = src.select("text").mapInArrow(_deal(hot, shards), "shard int, fp binary, n binary, size binary, tok binary")
+    dealt = src.mapInArrow(_deal(shards, hot=hot), _BLOB)
     runs = stored(spark, dealt.groupBy("shard").applyInPandas(_pairs, "run long, a long, b long, n long"), "runs")
     pairs = runs.where("run < 0").select("a", "b").distinct()
     members = runs.where("run >= 0").select("run", F.col("a").alias("fp"), "n")
-    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).unionByName(members.select("fp")).distinct()
-    chosen = (profile.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(ends, "fp")
-              .select(F.xxhash64("doc_id").alias("h")))
-    bits = spark.sparkContext.broadcast(membership(chosen, "h"))
-    sets = stored(spark, src.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(bits, hot), _SET), "cand")
-    # shingles that one class alone has, of the classes in large runs
-    alone = (sets.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", F.explode(_whole("")).alias("t"))
-             .groupBy("t").agg(F.min("fp").alias("fp"), F.max("fp").alias("last")).where("fp = last")
-             .groupBy("fp").agg(F.count(F.lit(1)).alias("own")))
-    members = stored(spark, members.join(alone, "fp", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
+    live = stored(spark, _may_link(spark, src, profile, _ends(pairs).unionByName(members.select("fp")), shards), "live")
+    for x in ("a", "b"):
+        pairs = pairs.join(live.select(F.col("fp").alias(x), F.struct("n", "own").alias(f"{x}_")), x)
+    pairs = stored(spark, pairs.where(_allowed("a_", "b_")).select("a", "b"), "pairs")
+    members = stored(spark, members.join(live.select("fp", "own"), "fp"), "members")
+    bits = _standing(spark, profile, _ends(pairs).unionByName(members.select("fp")))
+    sets = stored(spark, src.mapInArrow(_sets(bits, hot), _SET), "cand")
     hubs = stored(spark, _with_hubs(members, sets), "hubs")
     star = hubs.where("fp <> hub").select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"))
-    near = stored(spark, _verified(spark, pairs.unionByName(star).distinct(), sets), "links")
+    near = stored(spark, _verified(spark, pairs.unionByName(star).distinct(), sets, src, profile), "links")
     rest = stored(spark, _rest_pairs(members, hubs, components(spark, near)), "rest")
-    rest = _verified(spark, rest, sets)
+    rest = _verified(spark, rest, sets, src, profile)
     return profile, stored(spark, near.unionByName(rest).distinct(), "links")
 
 
