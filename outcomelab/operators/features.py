@@ -13,11 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Category lists and class lists above this size are refused: they are
-# collected to the driver by design.
-MAX_CATEGORIES = 100_000
-
-
 def fit_standardizer(src: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population std of each column: one aggregate job whose
     single result row (2 values per column) is the fitted state."""
@@ -67,10 +62,7 @@ def one_hot_fit(df: DataFrame, col: str, out: str | None = None):
     idx = StringIndexer(inputCol=col, outputCol=f"{col}_idx", handleInvalid="keep",
                         stringOrderType="frequencyDesc")
     enc = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[out], dropLast=True)
-    model = Pipeline(stages=[idx, enc]).fit(df)
-    if len(model.stages[0].labelsArray[0]) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has too many categories for one-hot")
-    return model
+    return Pipeline(stages=[idx, enc]).fit(df)
 
 
 def hot_position(vec: str) -> Column:
@@ -80,15 +72,6 @@ def hot_position(vec: str) -> Column:
     return F.when(pos > 0, (pos - 1).cast("bigint"))
 
 
-def class_counts_map(df: DataFrame, label: str) -> dict:
-    """Rows per class, collected: size bounded by the class list (checked)."""
-    rows = (df.filter(F.col(label).isNotNull()).groupBy(label).count()
-            .limit(MAX_CATEGORIES + 1).collect())
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{label} has too many classes")
-    return {r[label]: r["count"] for r in rows}
-
-
 def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: rows and the balanced weight n / (k * n_class), where k
     counts the classes present. One grouped aggregate; the totals are
@@ -103,14 +86,11 @@ def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Add the balanced weight of each row's class (NULL label -> NULL).
 
-    The k weights become a map literal in the plan: no join and no shuffle.
+    The weights, one row per class, are joined: Spark broadcasts them when
+    their measured size allows, however long the class list is.
     """
-    counts = class_counts_map(df, label)
-    n, k = sum(counts.values()), len(counts)
-    pairs = []
-    for c, m in counts.items():
-        pairs += [F.lit(c), F.lit(n / (k * m))]
-    return df.withColumn(out, F.element_at(F.create_map(*pairs), F.col(label)))
+    w = balanced_class_weights(df, label).select(F.col(label).alias("_class"), F.col("class_weight").alias(out))
+    return df.join(w, F.col(label) == F.col("_class"), "left").drop("_class")
 
 
 def gamma_scale(df: DataFrame, vec: str) -> DataFrame:

@@ -77,21 +77,24 @@ def stratified_folds(df: DataFrame, class_col: str, id_col: str, k: int, seed=42
     return ranked.withColumn(out, (F.col("_pos") % F.lit(k)).cast("int")).drop("_pos")
 
 
-# Above this many rows an exact sample is cut from ranks instead of a top-k.
-TOPK_LIMIT = 200_000
-
-
 def sample_exact(df: DataFrame, id_col: str, n: int, seed=42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement, seeded.
+    """Exactly ``min(n, rows)`` rows without replacement, seeded: the first n
+    in the order of (hash_draw(seed, id), id).
 
-    Small n: a distributed top-k on the draw (each task keeps n rows, then
-    one merge). Large n: positions from ``draw_rank`` and a filter, so no
-    task ever holds n rows.
+    A histogram of the draw (one number per ``ROWS_PER_BUCKET`` rows) finds the
+    bucket of the n-th row. Rows of earlier buckets are all taken, and only
+    that bucket is ranked, so no task merges more than a bucket's rows.
     """
-    if n <= TOPK_LIMIT:
-        return (df.withColumn("_h", hash_draw(seed, id_col))
-                .orderBy("_h", id_col).limit(n).drop("_h"))
-    return draw_rank(df, seed, id_col, out="_pos").filter(F.col("_pos") < n).drop("_pos")
+    n_buckets = bucket_count(df.count())
+    d = df.withColumn("_h", hash_draw(seed, id_col))
+    d = d.withColumn("_b", F.floor(F.col("_h").cast("double") / F.lit(HASH_SPAN) * F.lit(n_buckets)).cast("int"))
+    left = n
+    for r in d.groupBy("_b").agg(F.count(F.lit(1)).alias("rows")).orderBy("_b").collect():
+        if r["rows"] >= left:
+            last = d.filter(F.col("_b") == r["_b"]).orderBy("_h", id_col).limit(left)
+            return d.filter(F.col("_b") < r["_b"]).unionByName(last).drop("_h", "_b")
+        left -= r["rows"]
+    return df
 
 
 def bootstrap_resample(spark: SparkSession, df: DataFrame, id_col: str, n: int,

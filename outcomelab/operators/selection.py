@@ -8,7 +8,7 @@ evaluation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
@@ -43,17 +43,18 @@ class MacroF1Evaluator(Evaluator, HasLabelCol, HasPredictionCol):
         return True
 
 
-def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipeline]],
+def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipeline | Callable]],
                 fold_col: str, n_folds: int, evaluator: Evaluator,
-                parallelism: int | None = None) -> DataFrame:
+                parallelism: int | None = None, weigh=None) -> DataFrame:
     """Score every (candidate, fold) pair: fit on the other folds, evaluate
     on the held-out fold.
 
     All pairs run as concurrent Spark jobs from a thread pool (the
     mechanism of ``CrossValidator(parallelism=...)``, but across folds and
     candidates too): iterative fits are latency-bound, so concurrency is
-    what fills the cluster. Each task fits its own copy of the pipeline.
-    Returns (candidate, fold, score) rows.
+    what fills the cluster. Each task fits its own copy of the pipeline; a
+    function in its place builds the estimator from the training rows.
+    ``weigh`` adds the weights to the training rows of each fold. Returns (candidate, fold, score) rows.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -67,7 +68,9 @@ def fold_scores(spark: SparkSession, candidates: Sequence[tuple[DataFrame, Pipel
         data, pipe = candidates[c]
         train = data.filter(F.col(fold_col) != F.lit(f))
         valid = data.filter(F.col(fold_col) == F.lit(f))
-        model = pipe.copy().fit(train)
+        if weigh is not None:
+            train = weigh(train)
+        model = (pipe(train) if callable(pipe) else pipe.copy()).fit(train)
         return c, f, float(evaluator.evaluate(model.transform(valid)))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -111,12 +114,14 @@ def grid_search(spark: SparkSession, train: DataFrame, stages: list, param_maps:
 
 def group_cv(spark: SparkSession, df: DataFrame, group_col: str, groups: Sequence[str],
              stages_for, class_col: str, id_col: str, n_folds: int, evaluator: Evaluator,
-             min_rows: int = 200, seed: int = 42, parallelism: int | None = None) -> DataFrame:
+             min_rows: int = 200, seed: int = 42, parallelism: int | None = None,
+             weigh=None) -> DataFrame:
     """Cross-validation inside each group with fixed parameters.
 
     A group with fewer than ``min_rows`` rows is not fitted and reports
-    mean NULL, std 0. ``stages_for(group_df)`` builds the stages (so that
-    penalties can follow the group's size). Folds are stratified by class
+    mean NULL, std 0. ``stages_for(train_df)`` builds the stages from the
+    training rows of a fold (so that penalties follow their number), and
+    ``weigh(train_df)`` adds weights that are balanced within them. Folds are stratified by class
     within the group; all (group, fold) fits run concurrently. One row per
     group, in the given order.
     """
@@ -132,12 +137,12 @@ def group_cv(spark: SparkSession, df: DataFrame, group_col: str, groups: Sequenc
         fitted_groups = [g for g in groups if int(sizes.get(g, 0)) >= min_rows]
         cands = []
         for g in fitted_groups:
-            part = folded.filter(F.col(group_col) == F.lit(g))
-            cands.append((part, Pipeline(stages=stages_for(part))))
+            cands.append((folded.filter(F.col(group_col) == F.lit(g)),
+                          lambda train: Pipeline(stages=stages_for(train))))
         summary = {}
         if cands:
             for r in summarize_folds(fold_scores(spark, cands, "fold", n_folds, evaluator,
-                                                 parallelism)).collect():
+                                                 parallelism, weigh)).collect():
                 summary[fitted_groups[r["candidate"]]] = (r["mean_score"], r["std_score"])
     finally:
         folded.unpersist()

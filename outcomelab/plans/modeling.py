@@ -74,7 +74,7 @@ def stages_for(kind: str, train: DataFrame, c: float | None = None, gamma: float
 
 
 def fitted(spark, sf_dir, kind: str):
-    key = (id(spark.sparkContext), sf_dir, kind)
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _FITTED:
         train, _ = splits(spark, sf_dir)
         train = models.sized_for_fit(_weighted(train)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -166,7 +166,9 @@ def _grid(spark, sf_dir, cs, gammas, n_folds):
         _, table = selection.grid_search(spark, folded, st, grid, ["reg_param", "gamma"], "fold",
                                          n_folds, selection.MacroF1Evaluator(num_classes=K))
         # the table is built from local rows: no lineage on the cached folds
-        return table
+        c = F.round(1.0 / (F.lit(n_fit) * F.col("reg_param").cast("double")), 6)
+        width = F.when(F.col("gamma").cast("double") <= 0, "scale").otherwise(F.col("gamma"))
+        return table.select("rank", "grid_index", c.alias("c"), width.alias("gamma"), "mean_score", "std_score")
     finally:
         folded.unpersist()
 
@@ -188,8 +190,9 @@ def q_group_cv(spark, sf_dir):
     parameters; training years only, eras under 200 rows not fitted."""
     train, _ = splits(spark, sf_dir)
     return rounded(selection.group_cv(
-        spark, _weighted(train), "era", ERA_LABELS, lambda d: stages_for("svc_rff", d), "label",
-        "row_id", GROUP_FOLDS, selection.MacroF1Evaluator(num_classes=K), min_rows=200, seed=SEED))
+        spark, train, "era", ERA_LABELS, lambda d: stages_for("svc_rff", d), "label",
+        "row_id", GROUP_FOLDS, selection.MacroF1Evaluator(num_classes=K), min_rows=200, seed=SEED,
+        weigh=_weighted))
 
 
 @query("permutation_importance")
@@ -210,7 +213,7 @@ def q_scaling_curve(spark, sf_dir, sizes=SCALING_SIZES):
 
     def fit_weighted(df):
         w = _weighted(df)
-        return models.fit_pipeline(stages_for("svc_ovr_weighted", w), w)
+        return models.fit_pipeline(stages_for("svc_ovr_weighted", df), w)
 
     try:
         return scaling.scaling_curve(spark, base, "row_id", sizes,

@@ -91,6 +91,40 @@ def test_sample_exact(spark):
     df = spark.range(300).withColumnRenamed("id", "k")
     assert resample.sample_exact(df, "k", 50).count() == 50
     assert resample.sample_exact(df, "k", 1000).count() == 300
+    assert resample.sample_exact(df, "k", 0).count() == 0
+
+
+def test_sample_exact_over_buckets_equals_top_k(spark, monkeypatch):
+    from outcomelab.functions import hash_draw
+    monkeypatch.setattr(resample.bucket_count, "__defaults__", (7,))
+    df = spark.range(300).withColumnRenamed("id", "k")
+    for n in (1, 50, 137, 299):
+        want = df.orderBy(hash_draw(42, "k"), "k").limit(n).collect()
+        assert sorted(resample.sample_exact(df, "k", n).collect()) == sorted(want)
+
+
+def test_fold_fits_are_weighted_within_their_training_rows(spark):
+    """The sum of the weights equals the training rows in every fold of every group."""
+    from pyspark.ml.evaluation import Evaluator
+    from outcomelab.operators import selection
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"),
+                                 F.when(F.col("id") % 7 == 0, 1.0).otherwise(0.0).alias("label"))
+    seen = []
+
+    def stages(train):
+        r = train.agg(F.sum("weight"), F.count(F.lit(1))).first()
+        seen.append((r[0], r[1]))
+        return []
+
+    class One(Evaluator):
+        def _evaluate(self, dataset):
+            return 1.0
+
+    out = selection.group_cv(spark, df, "g", ["a", "b", "none"], stages, "label", "id", 4, One(), min_rows=10,
+                             weigh=lambda t: features.with_class_weights(t, "label")).collect()
+    assert [(r.g, r.n_rows, r.mean_score) for r in out] == [("a", 200, 1.0), ("b", 400, 1.0), ("none", 0, None)]
+    assert len(seen) == 8 and all(abs(w - n) < 1e-6 for w, n in seen)
+    assert min(n for _, n in seen) >= 148
 
 
 CLASSES = ["a", "b", "c"]
