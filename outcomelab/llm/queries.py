@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .oracles import ORACLE_SQL  # noqa: F401
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(name: str):
@@ -81,3 +82,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pitman_yor import score_documents
     return score_documents(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op11_source_divergence")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+    return audit(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op12_filter_interaction")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .interaction import audit
+    return audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_sharding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+    return shard_documents(spark, table(spark, sf_dir, "documents"))
