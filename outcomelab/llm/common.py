@@ -64,6 +64,27 @@ class WordHash(dict):
 
 _MEMO = WordHash()
 
+# Memos of this worker. Workers are reused by all stages of a job, so the memo of
+# an operator is emptied when a task of another one starts.
+_MEMOS: dict[str, dict] = {"words": _MEMO}
+_ACTIVE = [""]
+
+
+def memo(name: str, table: dict) -> dict:
+    """Register a table that a worker keeps between tasks."""
+    _MEMOS[name] = table
+    return table
+
+
+def use_memos(*names: str) -> None:
+    """Called by a task: the memos it uses. All others are emptied."""
+    wanted = ",".join(names)
+    if _ACTIVE[0] != wanted:
+        for n, table in _MEMOS.items():
+            if n not in names:
+                table.clear()
+        _ACTIVE[0] = wanted
+
 
 def word_hashes(ws: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_MEMO.__getitem__, ws), np.uint64, len(ws))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, mix, rolling, ship, word_hashes, words
+from .common import batch, mix, rolling, ship, word_hashes, use_memos, words
 
 BLOCK_ITEMS = 5_000
 REPEATS = 32
@@ -233,6 +233,7 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, similarity:
         held = spark.sparkContext.broadcast(Items(rows, similarity))
 
         def run(batches, held=held):
+            use_memos("words")
             it = held.value
             for b in batches:
                 got, at = [], 0
@@ -258,6 +259,7 @@ def clean(spark: SparkSession, text: Column, items: DataFrame, similarity: float
     @F.pandas_udf("boolean")
     def ok(texts):
         import pandas as pd
+        use_memos("words")
         out = []
         for lot in _lots(texts):
             part = np.ones(len(lot), bool)

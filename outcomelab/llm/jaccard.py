@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, is_member, membership, mix, salted, shingle_set, ship, signed, stored
+from .common import batch, is_member, membership, mix, salted, shingle_set, ship, signed, stored, use_memos
 from .components import components
 
 HOT_IN_TASK = 4
@@ -81,6 +81,7 @@ def ordered(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], order: int, rank:
 
 def _profile(batches):
     """One row per document, and the shingles that are frequent in this task."""
+    use_memos()
     seen: set[int] = set()
     lot: list[np.ndarray] = []
     held: dict[int, int] = {}

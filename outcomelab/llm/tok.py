@@ -17,6 +17,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
 
+from .common import memo, use_memos  # noqa: E402
+
 MEMO_PARTS = 700_000
 CHUNK_CHARS = 1_500_000
 JOINED = 64
@@ -41,7 +43,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = memo(f"tokens {path}", {})
         self.line = np.array(self.tok.encode("\n", add_special_tokens=False).ids, "<u4")
 
     def _raw(self, texts: list[str]) -> list[bytes]:
@@ -119,6 +121,8 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary; the memos of other operators are emptied."""
+    use_memos(f"tokens {path}")
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
     return _LOADED[path]
