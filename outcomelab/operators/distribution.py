@@ -19,18 +19,16 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
     [Q1 - whis*IQR, Q3 + whis*IQR]; points outside are outliers.
 
     Plan: rows are first folded to (group, value, weight) - a partial
-    aggregate, so a hot group or value costs nothing extra; quartiles use
-    ``percentile`` with frequencies; the per-group fences are joined back to
-    the folded table (one row per group: Spark broadcasts it when its
-    measured size allows) for the whisker pass.
+    aggregate, so a hot group or value costs nothing extra. Exact quartiles
+    are order statistics read off running counts over (group, value)
+    (``ordered.exact_quantiles``), so no task holds a group, however many
+    distinct values it has; the per-group fences are joined back to the folded
+    table (one row per group: Spark broadcasts it when its measured size
+    allows) for the whisker pass.
 
-    Exact quartiles keep every distinct value of a group in one aggregation
-    buffer: right for low-cardinality values (standings, counts). For a
-    continuous column pass ``exact=False``: ``percentile_approx`` keeps a
-    mergeable sketch of bounded size per group (rank error about
-    1/``accuracy``), so a group holding a third of all rows costs no more
-    memory than a small one. Whiskers and outliers are then exact relative
-    to the approximate fences.
+    ``exact=False`` takes ``percentile_approx`` instead: one shuffle less, a
+    mergeable sketch per group with a rank error of about 1/``accuracy``.
+    Whiskers and outliers are then exact relative to the approximate fences.
     """
     by = list(by)
     keys = by or ["_all"]
@@ -39,8 +37,11 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str,
     folded = (drop_null_keys(base, keys).filter(v.isNotNull())
               .groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
     if exact:
-        quart = F.percentile("_v", [0.25, 0.5, 0.75], F.col("_w"))
-        q = folded.groupBy(*keys).agg(quart.alias("_q"), F.sum("_w").alias("n"))
+        from outcomelab.operators.ordered import quantiles_of_counts
+        from outcomelab.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        folded = folded.checkpoint()
+        q = quantiles_of_counts(folded, keys, "_v", "_w", [0.25, 0.5, 0.75]).withColumnRenamed("q", "_q")
     else:
         # the sketch reads raw rows (it has no weights); no folding needed
         raw = drop_null_keys(base, keys).filter(v.isNotNull())

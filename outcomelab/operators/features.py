@@ -119,67 +119,124 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
                            handleInvalid=handle_invalid).transform(df)
 
 
-def pca_fit(df: DataFrame, cols: Sequence[str], k: int | None = None):
-    """PCA on population z-scores of ``cols`` (Spark's PCA does not centre
-    the scores, so it is always fed z-scores).
+def assembled_moments(df: DataFrame, cols: Sequence[str]):
+    """(n, means, co-moments) of the rows without NULL or NaN in ``cols``.
 
-    Returns (model, z-scored DataFrame with a ``features`` vector, the
-    z-column names). The d x d covariance is a tree aggregate: its cost
-    grows with rows, its size only with d.
+    Co-moments are sums of products of deviations from the mean. Every Arrow
+    batch gives its own triple, triples merge by the pairwise formula of Chan,
+    Golub and LeVeque, which is stable for values far from zero; a task sends
+    one triple, ``LOT`` tasks merge in one, the driver gets the last d x d.
     """
-    from pyspark.ml.feature import PCA
-    z = standardize(df, cols)
-    zcols = [c + "_z" for c in cols]
-    zf = assemble(z, zcols)
-    model = PCA(k=k or len(cols), inputCol="features", outputCol="scores").fit(zf)
-    return model, zf, zcols
-
-
-def pca_variance(spark: SparkSession, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per component: variance ratio, cumulative %, eigenvalue.
-
-    Eigenvalue = ratio x trace of the sample covariance of the z-scores
-    (one aggregate), which holds even with a constant column.
-    """
-    model, zf, zcols = pca_fit(df, cols)
-    ratios = [float(x) for x in model.explainedVariance.toArray()]
-    trace = zf.agg(*[F.var_samp(c).alias(c) for c in zcols]).first()
-    tr = sum(float(trace[c] or 0.0) for c in zcols)
+    import numpy as np
+    import pyarrow as pa
+    d = len(cols)
+
+    def merge(a, b):
+        if a is None or b[0] == 0:
+            return b if a is None else a
+        n = a[0] + b[0]
+        delta = b[1] - a[1]
+        return (n, a[1] + delta * (b[0] / n), a[2] + b[2] + np.outer(delta, delta) * (a[0] * b[0] / n))
+
+    def pack(t):
+        return np.concatenate([[t[0]], t[1], t[2].ravel()]).tobytes()
+
+    def unpack(x):
+        v = np.frombuffer(x)
+        return v[0], v[1:d + 1], v[d + 1:].reshape(d, d)
+
+    def partial(batches):
+        state = None
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) if b.num_rows else None
+            if x is None:
+                continue
+            mean = x.mean(axis=0)
+            dev = x - mean
+            state = merge(state, (float(len(x)), mean, dev.T @ dev))
+        if state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pack(state)], pa.binary())], names=["m"])
+
+    def total(pdf):
+        import pandas as pd
+        state = None
+        for x in pdf["m"]:
+            state = merge(state, unpack(x))
+        return pd.DataFrame({"m": [pack(state)]})
+
+    from outcomelab.session import ship
+    ship(df.sparkSession)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).na.drop()
+    parts = rows.mapInArrow(partial, "m binary").withColumn("lot", F.floor(F.spark_partition_id() / LOT))
+    state = None
+    for r in parts.groupBy("lot").applyInPandas(total, "m binary").toLocalIterator():
+        state = merge(state, unpack(bytes(r["m"])))
+    return state if state is not None else (0.0, np.zeros(d), np.zeros((d, d)))
+
+
+# Triples (one a task) merged in one task.
+LOT = 256
+
+
+class Pca:
+    """Principal components of population z-scores: ``mean``, ``scale`` (1 for a
+    constant column), ``ratio`` and ``eigenvalue`` by falling variance,
+    ``vectors`` (a column each). Eigenvalues are those of the sample covariance
+    of the z-scores. The entry of largest absolute value of each component is
+    positive (the first one on ties), as eigenvectors have no sign."""
+
+    def __init__(self, df: DataFrame, cols: Sequence[str]):
+        import numpy as np
+        self.cols = list(cols)
+        n, self.mean, co = assembled_moments(df, cols)
+        self.n = int(n)
+        std = np.sqrt(np.diag(co) / n) if n else np.zeros(len(cols))
+        self.scale = np.where(std > 0, std, 1.0)
+        cov = co / np.outer(self.scale, self.scale) / max(n - 1, 1)
+        value, vector = np.linalg.eigh(cov)
+        self.eigenvalue, vector = np.clip(value[::-1], 0.0, None), vector[:, ::-1]
+        top = np.abs(vector).argmax(axis=0)
+        self.vectors = vector * np.where(vector[top, np.arange(len(cols))] < 0, -1.0, 1.0)
+        whole = self.eigenvalue.sum()
+        self.ratio = self.eigenvalue / whole if whole > 0 else np.zeros(len(cols))
+
+    def score(self, j: int) -> Column:
+        """Score on component j of a row; NULL if one of its columns is NULL."""
+        out = F.lit(0.0)
+        for c, m, s, v in zip(self.cols, self.mean, self.scale, self.vectors[:, j]):
+            out = out + (F.col(c).cast("double") - F.lit(float(m))) * F.lit(float(v / s))
+        return out
+
+
+def pca_variance(spark: SparkSession, df: DataFrame, cols: Sequence[str], pca: Pca | None = None) -> DataFrame:
+    """Per component: variance ratio and cumulative in %, eigenvalue."""
+    pca = pca or Pca(df, cols)
     rows, cum = [], 0.0
-    for i, r in enumerate(ratios):
-        cum += r
-        rows.append((i + 1, r * 100.0, cum * 100.0, r * tr))
+    for i, (r, e) in enumerate(zip(pca.ratio, pca.eigenvalue)):
+        cum += float(r)
+        rows.append((i + 1, float(r) * 100.0, cum * 100.0, float(e)))
     return spark.createDataFrame(
         rows, "component bigint, variance_pct double, cumulative_pct double, eigenvalue double")
 
 
 def pca_loadings(spark: SparkSession, df: DataFrame, cols: Sequence[str], n_components: int = 3,
-                 arrow_scale: float = 3.0) -> DataFrame:
+                 arrow_scale: float = 3.0, pca: Pca | None = None) -> DataFrame:
     """Long table (feature, component, weight, loading, arrow) for the first
     components: weight = component entry (3 digits), loading = weight x
-    sqrt(eigenvalue), arrow = loading x arrow_scale. Signs are fixed so that
-    the largest |weight| of each component is positive (eigenvector signs
-    are otherwise arbitrary). Size is d x n_components."""
-    model, zf, zcols = pca_fit(df, cols)
-    ratios = model.explainedVariance.toArray()
-    trace = zf.agg(*[F.var_samp(c).alias(c) for c in zcols]).first()
-    tr = sum(float(trace[c] or 0.0) for c in zcols)
-    pc = model.pc.toArray()
+    sqrt(eigenvalue), arrow = loading x arrow_scale. Size is d x n_components."""
+    pca = pca or Pca(df, cols)
     rows = []
-    for j in range(min(n_components, pc.shape[1])):
-        v = pc[:, j]
-        sign = 1.0 if v[abs(v).argmax()] >= 0 else -1.0
-        ev = float(ratios[j]) * tr
-        for i, name in enumerate(cols):
-            w = sign * float(v[i])
-            rows.append((name, j + 1, round(w, 3), w * ev ** 0.5, w * ev ** 0.5 * arrow_scale))
+    for j in range(min(n_components, len(pca.cols))):
+        root = float(pca.eigenvalue[j]) ** 0.5
+        for name, w in zip(pca.cols, pca.vectors[:, j]):
+            rows.append((name, j + 1, round(float(w), 3), float(w) * root, float(w) * root * arrow_scale))
     return spark.createDataFrame(
         rows, "feature string, component bigint, weight double, loading double, arrow double")
 
 
-def pca_scores(df: DataFrame, cols: Sequence[str], keep: Sequence[str], n_components: int = 2) -> DataFrame:
-    """Scores of each row on the first components (z-scored inputs)."""
-    from pyspark.ml.functions import vector_to_array
-    model, zf, _ = pca_fit(df, cols, k=n_components)
-    arr = vector_to_array(F.col("scores"))
-    return model.transform(zf).select(*keep, *[arr[i].alias(f"pc{i + 1}") for i in range(n_components)])
+def pca_scores(df: DataFrame, cols: Sequence[str], keep: Sequence[str], n_components: int = 2,
+               pca: Pca | None = None) -> DataFrame:
+    """Scores of each row on the first components (z-scored inputs), as column
+    arithmetic on the fitted means, deviations and vectors."""
+    pca = pca or Pca(df, cols)
+    return df.select(*keep, *[pca.score(j).alias(f"pc{j + 1}") for j in range(n_components)])

@@ -182,38 +182,27 @@ def metrics_long(summary: DataFrame, model: str,
 
 def auc_ovr(spark: SparkSession, df: DataFrame, label_idx: str, probs: str,
             k: int, weight: str | None = None) -> DataFrame:
-    """One-vs-rest ROC AUC per class and their macro mean.
-
-    Each class is an exact binary AUC with ties counted as half
-    (``BinaryClassificationEvaluator`` with ``numBins=0``: scores are
-    combined by value, range-partitioned, and swept with per-partition
-    offsets, so no task holds a whole class). A class with no positive or
-    no negative row has no AUC, and then the macro value is NULL as well.
-    ``probs`` is an ARRAY<DOUBLE> of length k.
+    """One-vs-rest ROC AUC per class and their macro mean (class_index -1).
+
+    Exact, ties counted half, all classes in one plan
+    (``ordered.auc_by_class``). A class with no positive or no negative row has
+    no AUC, and then the macro value is NULL as well. ``probs`` is an
+    ARRAY<DOUBLE> of length k.
     """
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    cols = [F.col(probs)[i].alias(f"_s{i}") for i in range(k)]
-    cols += [(F.col(label_idx) == F.lit(i)).cast("double").alias(f"_y{i}") for i in range(k)]
-    if weight:
-        cols.append(F.col(weight))
-    scored = df.filter(F.col(label_idx).isNotNull()).select(*cols).persist()
-    try:
-        pos = scored.agg(*[F.sum(f"_y{i}").alias(f"p{i}") for i in range(k)],
-                         F.count(F.lit(1)).alias("n")).first()
-        out = []
-        for i in range(k):
-            p, n = pos[f"p{i}"] or 0, pos["n"]
-            if p == 0 or p == n:
-                out.append((i, None))
-                continue
-            ev = BinaryClassificationEvaluator(rawPredictionCol=f"_s{i}", labelCol=f"_y{i}",
-                                               metricName="areaUnderROC", numBins=0)
-            if weight:
-                ev.setWeightCol(weight)
-            out.append((i, float(ev.evaluate(scored))))
-    finally:
-        scored.unpersist()
-    vals = [v for _, v in out]
-    macro = None if any(v is None for v in vals) else sum(vals) / k
-    rows = [(i, v) for i, v in out] + [(-1, macro)]
-    return spark.createDataFrame(rows, "class_index bigint, auc double")
+    from outcomelab.operators.ordered import auc_by_class
+    got = auc_by_class(df, label_idx, probs, k, weight).select(F.col("class_index").alias("_c"), "auc")
+    each = (spark.range(k).withColumnRenamed("id", "class_index")
+            .join(got, F.col("class_index") == F.col("_c"), "left").select("class_index", "auc"))
+    macro = each.agg(F.when(F.count("auc") == k, F.avg("auc")).alias("auc"))
+    return each.unionByName(macro.select(F.lit(-1).cast("bigint").alias("class_index"), "auc"))
+
+
+def evaluation(spark: SparkSession, df: DataFrame, truth: str, pred: str, probs: str, classes: Sequence,
+               model: str) -> DataFrame:
+    """(model, metric, metric_order, value): the seven metrics of
+    ``metrics_summary`` and the macro AUC of the class probabilities ``probs``.
+    ``truth`` holds class numbers 0..k-1 in the order of ``classes``."""
+    long = metrics_long(metrics_summary(df, truth, pred, classes), model)
+    auc = auc_ovr(spark, df, truth, probs, len(classes)).where("class_index = -1")
+    return long.unionByName(auc.select(F.lit(model).alias("model"), F.lit("auc").alias("metric"),
+                                       F.lit(7).cast("bigint").alias("metric_order"), F.col("auc").alias("value")))

@@ -114,13 +114,24 @@ def group_median(df: DataFrame, by: Sequence[str], value: str, exact: bool = Tru
                  accuracy: int = 10_000) -> DataFrame:
     """Per group: interpolated median of ``value`` and the row count.
 
-    ``exact=False`` uses a bounded-memory sketch (``percentile_approx``),
-    the choice for continuous values with hot groups.
+    The median is read off running counts over (group, value), so no task
+    holds a group (``ordered.exact_quantiles``); a group without values has
+    median NULL. ``exact=False`` uses a bounded sketch (``percentile_approx``).
     """
-    x = F.col(value).cast("double")
-    med = F.median(x) if exact else F.percentile_approx(x, 0.5, accuracy).cast("double")
-    return (drop_null_keys(df, by).groupBy(*by)
-            .agg(med.alias("median_value"), F.count(F.lit(1)).alias("n_rows")))
+    rows = drop_null_keys(df, by)
+    if not exact:
+        med = F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).cast("double")
+        return rows.groupBy(*by).agg(med.alias("median_value"), F.count(F.lit(1)).alias("n_rows"))
+    from outcomelab.operators.ordered import quantiles_of_counts
+    from outcomelab.session import checkpoint_root
+    # one pass over the rows: the folded counts hold NULL values as well
+    checkpoint_root(df.sparkSession)
+    folded = (rows.groupBy(*by, F.col(value).cast("double").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+              .checkpoint())
+    counts = folded.groupBy(*by).agg(F.sum("_n").alias("n_rows"))
+    real = folded.where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    med = quantiles_of_counts(real, by, "_value", "_n", [0.5]).select(*by, F.col("q")[0].alias("median_value"))
+    return counts.join(med, list(by), "left").select(*by, "median_value", "n_rows")
 
 
 def min_rows_guard(df: DataFrame, by: Sequence[str], value: str, min_rows: int) -> DataFrame:

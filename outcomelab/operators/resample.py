@@ -16,9 +16,11 @@ task holds more than about n / n_buckets rows, however skewed the classes.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -126,3 +128,64 @@ def permutation_pairs(df: DataFrame, id_col: str, seed, n_buckets: int | None =
     b = draw_rank(ids, f"{seed}-b", id_col, out="_p", n_buckets=n_buckets) \
         .withColumnRenamed(id_col, "partner")
     return a.join(b, "_p").drop("_p")
+
+
+# Rounds of the Feistel network behind ``permuted``.
+FEISTEL_ROUNDS = 8
+
+
+def permuted(pos: np.ndarray, n: int, key: int) -> np.ndarray:
+    """A keyed permutation of 0..n-1, applied to ``pos``: no table, no rank.
+
+    An alternating Feistel network over pairs (x div b, x mod b) of a grid of
+    a x b >= n places is a bijection of the grid; places beyond n walk on until
+    they fall inside, which keeps it one of 0..n-1.
+    """
+    a = max(1, math.isqrt(n - 1) + 1) if n > 1 else 1
+    b = -(-n // a)
+    x = np.asarray(pos, np.int64).copy()
+    todo = np.arange(len(x))
+    while len(todo):
+        left, right = x[todo] // b, x[todo] % b
+        for i in range(FEISTEL_ROUNDS):
+            if i % 2:
+                right = (right + _mix(left, key, i) % np.uint64(b)).astype(np.int64) % b
+            else:
+                left = (left + _mix(right, key, i) % np.uint64(a)).astype(np.int64) % a
+        x[todo] = left * b + right
+        todo = todo[x[todo] >= n]
+    return x
+
+
+def _mix(x: np.ndarray, key: int, i: int) -> np.ndarray:
+    """64-bit finaliser (SplitMix64) of a value, the key and the round; below 2**32."""
+    with np.errstate(over="ignore"):
+        z = x.astype(np.uint64) + np.uint64(key & (2 ** 64 - 1)) + np.uint64(i + 1) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((z ^ (z >> np.uint64(31))) >> np.uint64(32)).astype(np.uint64)
+
+
+def permutation_key(seed, repeat: int) -> int:
+    return int(hashlib.md5(f"{seed}-perm-{repeat}".encode()).hexdigest()[:15], 16)
+
+
+def permutation_partners(df: DataFrame, id_col: str, seed, repeats: int) -> DataFrame:
+    """``df`` with ``pos`` (dense, by draw), ``repeat`` and ``partner``: for
+    each repeat the position of the row's partner, every row being one once.
+
+    One rank for all repeats; the permutations are computed from the position.
+    """
+    from outcomelab.session import ship
+    ship(df.sparkSession)
+    ranked = draw_rank(df, f"{seed}-pos", id_col, out="pos")
+    n = df.count()
+    keys = [permutation_key(seed, r) for r in range(repeats)]
+
+    @F.pandas_udf("array<bigint>")
+    def partners(pos):
+        import pandas as pd
+        got = np.stack([permuted(pos.to_numpy(np.int64), n, key) for key in keys], axis=1)
+        return pd.Series(list(got), dtype=object)
+
+    return ranked.select("*", F.posexplode(partners("pos")).alias("repeat", "partner"))

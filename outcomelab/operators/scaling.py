@@ -7,37 +7,48 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from outcomelab.operators.resample import bootstrap_resample
 
+TIMINGS = "n_rows bigint, arm string, status string, seconds double, distinct_rows bigint, id_sum bigint"
+
 
 def scaling_curve(spark: SparkSession, base: DataFrame, id_col: str, sizes: Sequence[int],
-                  arms: Mapping[str, Callable[[DataFrame], object]], seed: int = 42,
-                  partitions: int | None = None) -> DataFrame:
-    """Seconds to fit each arm on an exact-size bootstrap of ``base``.
-
-    Each resample is drawn inside Spark (no driver round trip),
-    repartitioned to about ``ROWS_PER_FIT_TASK`` rows per task (unless
-    ``partitions`` is given) and materialised before the clock starts, so only the fit is timed. A failed fit is recorded as
-    NULL and the sweep goes on. The persisted resample is recomputable from
-    its lineage if an executor is lost.
+                  arms: Mapping[str, Callable[[DataFrame], object]], seed: int = 42) -> DataFrame:
+    """Seconds to fit each arm on nested exact-size bootstraps of ``base``.
+
+    Draw i takes the same base row whatever the size, so the largest resample is
+    drawn once and a smaller one is its first draws. Each size is dealt to about
+    ``ROWS_PER_FIT_TASK`` rows a task and materialised before the clock starts,
+    so only the fit is timed. A failed fit has its error as ``status`` and no
+    seconds, and the sweep goes on. ``distinct_rows`` and ``id_sum`` describe
+    the rows drawn (integer ids). The timings are written to the shared scratch
+    folder, and what is returned is read back from there.
     """
     from outcomelab.operators.models import ROWS_PER_FIT_TASK
+    from outcomelab.session import scratch_path
+    from outcomelab.sources.sinks import write_checked
+    top = max(sizes)
+    drawn = bootstrap_resample(spark, base, id_col, top, seed=seed) \
+        .repartition(max(1, -(-top // ROWS_PER_FIT_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    for n in sizes:
-        parts = partitions or max(1, -(-int(n) // ROWS_PER_FIT_TASK))
-        boot = (bootstrap_resample(spark, base, id_col, n, seed=seed)
-                .repartition(parts).persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            boot.count()
-            for name, fit in arms.items():
-                t0 = time.perf_counter()
-                try:
-                    fit(boot)
-                    sec = time.perf_counter() - t0
-                except Exception:  # a failed arm is a NULL, like a missing point
-                    sec = None
-                rows.append((int(n), name, sec))
-        finally:
-            boot.unpersist()
-    return spark.createDataFrame(rows, "n_rows bigint, arm string, seconds double")
+    try:
+        for n in sizes:
+            boot = (drawn.where(F.col("draw_id") < n).drop("draw_id")
+                    .repartition(max(1, -(-int(n) // ROWS_PER_FIT_TASK))).persist(StorageLevel.MEMORY_AND_DISK))
+            try:
+                distinct, total = boot.agg(F.count_distinct(id_col), F.sum(id_col)).first()
+                for name, fit in arms.items():
+                    t0 = time.perf_counter()
+                    try:
+                        fit(boot)
+                        status, seconds = "ok", time.perf_counter() - t0
+                    except Exception as e:  # a failed arm is a row without seconds
+                        status, seconds = f"{type(e).__name__}: {e}"[:200], None
+                    rows.append((int(n), name, status, seconds, int(distinct), int(total)))
+            finally:
+                boot.unpersist()
+    finally:
+        drawn.unpersist()
+    return write_checked(spark.createDataFrame(rows, TIMINGS), scratch_path(spark, "timings"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
@@ -161,38 +162,40 @@ def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], la
     """Drop in macro-F1 when one feature column is permuted, mean and
     population std over ``repeats`` permutations, ascending by mean.
 
-    Per repeat, one exact permutation of the rows (``permutation_pairs``)
-    is joined once and shared by all features; the rows are then replicated
-    once per feature with that feature swapped, scored in a single
-    ``transform`` and summarised by one aggregate keyed by (repeat,
-    feature).
+    Rows get dense positions once; a repeat's permutation is a keyed bijection
+    of positions (``resample.permutation_partners``), and one join brings every
+    row its partners' values. The rows are then replicated once per feature
+    with that feature swapped, scored in a single ``transform`` together with
+    the rows as they are, and summarised by one aggregate.
     """
     classes = [float(i) for i in range(num_classes)]
-    base = metrics.macro_f1_present(model.transform(df), label_col, pred_col, classes).first()["macro_f1"]
     feats = list(feature_cols)
-    keep = [id_col, label_col] + feats
-    src = df.select(*keep)
-    partner_vals = src.select(F.col(id_col).alias("_partner"),
-                              *[F.col(f).alias(f"_p_{i}") for i, f in enumerate(feats)])
-    n_buckets = resample.bucket_count(src.count())
-    variants = None
-    for r in range(repeats):
-        pairs = resample.permutation_pairs(src, id_col, f"{seed}-perm-{r}", n_buckets=n_buckets) \
-            .withColumnRenamed("partner", "_partner")
-        v = (src.join(pairs, id_col).join(partner_vals, "_partner")
-             .withColumn("_repeat", F.lit(r)))
-        variants = v if variants is None else variants.unionByName(v)
-    swapped = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("_feature"),
-                 *[(F.col(f"_p_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(feats)])
-        for f in feats]))
-    long = variants.select(label_col, "_repeat", swapped.alias("_v")).select(label_col, "_repeat", "_v.*")
-    per = metrics.macro_f1_present(model.transform(long), label_col, pred_col, classes,
-                                   by=["_repeat", "_feature"])
-    drop = F.lit(float(base)) - F.col("macro_f1")
-    return (per.groupBy(F.col("_feature").alias("feature"))
-            .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
-            .orderBy("importance_mean", "feature"))
+    src = df.select(id_col, label_col, *feats).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        paired = resample.permutation_partners(src, id_col, seed, repeats).persist(StorageLevel.MEMORY_AND_DISK)
+        values = (paired.where("repeat = 0")
+                  .select(F.col("pos").alias("_at"), *[F.col(f).alias(f"_p_{i}") for i, f in enumerate(feats)]))
+        pairs = paired.join(values, F.col("partner") == F.col("_at"))
+        swapped = F.explode(F.array(*[
+            F.struct(F.lit(f).alias("_feature"),
+                     *[(F.col(f"_p_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(feats)])
+            for f in feats]))
+        long = (pairs.select(label_col, F.col("repeat").alias("_repeat"), swapped.alias("_v"))
+                .select(label_col, "_repeat", "_v.*"))
+        whole = src.select(label_col, F.lit(-1).alias("_repeat"), F.lit(None).cast("string").alias("_feature"), *feats)
+        per = metrics.macro_f1_present(model.transform(long.unionByName(whole)), label_col, pred_col, classes,
+                                       by=["_repeat", "_feature"]).collect()
+    finally:
+        src.unpersist()
+    # repeats x features + 1 scores
+    base = next((float(r["macro_f1"]) for r in per if r["_repeat"] == -1 and r["macro_f1"] is not None), 0.0)
+    out = []
+    for f in feats:
+        drops = [base - float(r["macro_f1"]) for r in per if r["_feature"] == f]
+        mean = sum(drops) / len(drops) if drops else 0.0
+        out.append((f, mean, (sum((x - mean) ** 2 for x in drops) / max(len(drops), 1)) ** 0.5))
+    out.sort(key=lambda r: (r[1], r[0]))
+    return df.sparkSession.createDataFrame(out, "feature string, importance_mean double, importance_std double")
 
 
 def method_comparison(scored: Sequence[tuple[str, DataFrame]], truth: str, pred: str,

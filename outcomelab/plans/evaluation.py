@@ -129,26 +129,35 @@ def q_cv_summary(spark, sf_dir):
                                 F.stddev_pop("macro_f1").alias("std_score")))
 
 
-REPORT_SECTION = "=== custkey_rule - orders ==="
+REPORT_TITLE = "# metrics of custkey_rule over orders"
+REPORTED = ("accuracy", "macro_f1", "weighted_f1")
 
 
 @query("report_scrape")
 def q_report_scrape(spark, sf_dir):
-    """Write the metrics report as text to the shared scratch folder, read
-    it back whole and scrape numbers after the section title (a missing
-    report or line gives NULL)."""
+    """Write the metrics as text, a title and one ``name<TAB>value`` line each,
+    to the shared scratch folder, read it back whole and scrape numbers after
+    the title (a missing report or line gives NULL)."""
     from outcomelab.session import scratch_path
     from outcomelab.sources import read_text_log, scrape_metrics
     s = metrics.metrics_summary(predicted_orders(spark, sf_dir), "o_orderpriority",
                                 "pred_priority", PRIORITIES)
-    text = s.select(F.concat_ws("\n", F.lit(REPORT_SECTION),
-                                F.format_string("  Accuracy:    %.4f", "accuracy"),
-                                F.format_string("  Kappa:       %.4f", "kappa"),
-                                F.format_string("  Macro-F1:    %.4f", "macro_f1"),
-                                F.format_string("  W-F1:        %.4f", "weighted_f1")).alias("value"))
+    lines = [F.concat(F.lit(f"{name}\t"), F.format_number(name, 4)) for name in ("kappa", *REPORTED)]
+    text = s.select(F.concat_ws("\n", F.lit(REPORT_TITLE), *lines).alias("value"))
     path = scratch_path(spark, "metrics-report")
     text.coalesce(1).write.mode("overwrite").text(path)
-    back = scrape_metrics(read_text_log(spark, path), REPORT_SECTION,
-                          {"accuracy": r"Accuracy:\s*([-0-9.]+)", "macro_f1": r"Macro-F1:\s*([-0-9.]+)",
-                           "weighted_f1": r"W-F1:\s*([-0-9.]+)"})
-    return back.select("accuracy", "macro_f1", "weighted_f1")
+    return scrape_metrics(read_text_log(spark, path), REPORT_TITLE,
+                          {name: rf"(?m)^{name}\t(-?[0-9.]+)$" for name in REPORTED}).select(*REPORTED)
+
+
+@query("predictions_sink")
+def q_predictions_sink(spark, sf_dir):
+    """Predictions of the rule as (true, predicted) pairs, written as Parquet,
+    read back after the commit marker and compared by rows and digest; the
+    pairs read back are counted."""
+    from outcomelab.session import scratch_path
+    from outcomelab.sources import write_checked
+    pairs = predicted_orders(spark, sf_dir).select(F.col("o_orderpriority").alias("true_label"),
+                                                   F.col("pred_priority").alias("pred_label"))
+    back = write_checked(pairs, scratch_path(spark, "pairs"))
+    return back.groupBy("true_label", "pred_label").agg(F.count(F.lit(1)).alias("n_rows"))

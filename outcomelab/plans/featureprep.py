@@ -57,16 +57,27 @@ def _embedding_columns(spark, sf_dir):
     return wide, cols
 
 
+_PCA: dict = {}
+
+
+def embedding_pca(spark, sf_dir) -> features.Pca:
+    """Fitted once per application: the loadings and the scores share it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PCA:
+        _PCA[key] = features.Pca(*_embedding_columns(spark, sf_dir))
+    return _PCA[key]
+
+
 @query("pca_scores")
 def q_pca_scores(spark, sf_dir):
     wide, cols = _embedding_columns(spark, sf_dir)
-    scores = features.pca_scores(wide, cols, ["vec_id", "label"], n_components=2)
+    scores = features.pca_scores(wide, cols, ["vec_id", "label"], 2, embedding_pca(spark, sf_dir))
     # a readable scatter: an exact seeded sample of rows, flagged by class
     sample = resample.sample_exact(scores, "vec_id", PCA_SAMPLE, seed=42)
-    return sample.withColumn("not_class0", differs_from("label", 0))
+    return rounded(sample.withColumn("not_class0", differs_from("label", 0)))
 
 
 @query("pca_loadings")
 def q_pca_loadings(spark, sf_dir):
     wide, cols = _embedding_columns(spark, sf_dir)
-    return features.pca_loadings(spark, wide, cols, n_components=3)
+    return rounded(features.pca_loadings(spark, wide, cols, 3, pca=embedding_pca(spark, sf_dir)))

@@ -7,7 +7,8 @@ is a BIGINT, and every column carries the same alias as in Spark.
 from __future__ import annotations
 
 from outcomelab.functions.buckets import TIER_EDGES, TIER_LABELS
-from outcomelab.plans.tables import DIST_CLASSES, ERA_LAST, ERAS, PRIORITIES
+from outcomelab.plans.featureprep import EMB_DIM, PCA_SAMPLE
+from outcomelab.plans.tables import BAD_EVERY, DIST_CLASSES, ERA_LAST, ERAS, PRIORITIES
 
 ORACLE_SQL: dict[str, str] = {}
 D = 6
@@ -419,7 +420,71 @@ SELECT CAST(1 AS BIGINT) AS component, round((1 + r) / 2 * 100, {D}) AS variance
 UNION ALL
 SELECT 2, round((1 - r) / 2 * 100, {D}), 100.0, round((1 - r) * n / (n - 1.0), {D}) FROM s""")
 
+register("predictions_sink", f"""
+WITH pr AS ({_PRED})
+SELECT t AS true_label, p AS pred_label, CAST(count(*) AS BIGINT) AS n_rows FROM pr GROUP BY 1, 2""")
+
 register("report_scrape", f"""
 WITH s AS ({_SUMMARY})
 SELECT round(accuracy, 4) AS accuracy, round(macro_f1, 4) AS macro_f1, round(weighted_f1, 4) AS weighted_f1
 FROM s""")
+
+
+register("csv_bad_cells", f"""
+SELECT p_type, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE p_partkey % {BAD_EVERY} = 0) AS BIGINT) AS n_bad,
+       CAST(sum(p_size) FILTER (WHERE p_partkey % {BAD_EVERY} <> 0) AS BIGINT) AS sum_size,
+       CAST(sum(p_partkey) AS BIGINT) AS sum_key, round(avg(p_retailprice), {D}) AS avg_price
+FROM part GROUP BY p_type""")
+
+# ---- principal components of the embeddings: powers of the correlation matrix ------
+
+# The matrix is squared this often (and scaled by its trace), i.e. raised to the
+# power 2 ** SQUARINGS, which leaves the leading eigenvector in every row.
+SQUARINGS = 20
+
+
+def _component(j: int) -> str:
+    """``v{j}`` (v, ev) of matrix ``c{j}``, and the deflated matrix ``c{j + 1}``."""
+    return f"""
+p{j}(i, r, step) USING KEY (i) AS (
+  SELECT i, r, 0 FROM c{j}
+  UNION
+  SELECT a.i, list(list_dot_product(a.r, b.r) / t.tr ORDER BY b.i), any_value(a.step) + 1
+  FROM p{j} a CROSS JOIN p{j} b CROSS JOIN (SELECT sum(list_dot_product(r, r)) AS tr FROM p{j}) t
+  WHERE a.step < {SQUARINGS} GROUP BY a.i),
+n{j} AS (SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))) AS u FROM p{j} ORDER BY r[i] DESC LIMIT 1),
+s{j} AS (SELECT list_transform(u, lambda x: x * CASE WHEN
+                u[list_position(list_transform(u, lambda y: abs(y)), list_max(list_transform(u, lambda y: abs(y))))] < 0
+                THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END) AS v FROM n{j}),
+v{j} AS (SELECT s.v, (SELECT sum(s.v[c.i] * list_dot_product(c.r, s.v)) FROM c{j} c) AS ev FROM s{j} s),
+c{j + 1} AS (SELECT c.i, list_transform(range(1, len(c.r) + 1), lambda k: c.r[k] - v.ev * v.v[c.i] * v.v[k]) AS r
+             FROM c{j} c CROSS JOIN v{j} v)"""
+
+
+def _pca(components: int) -> str:
+    return f"""
+wide AS (SELECT vec_id, label, CAST(embedding[1:{EMB_DIM}] AS DOUBLE[]) AS x FROM embeddings),
+cell AS (SELECT vec_id, unnest(range(1, {EMB_DIM} + 1)) AS i, unnest(x) AS x FROM wide),
+moment AS (SELECT list(m ORDER BY i) AS m, list(s ORDER BY i) AS s
+           FROM (SELECT i, avg(x) AS m, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS s FROM cell GROUP BY i)),
+z AS (SELECT vec_id, label, list_transform(range(1, {EMB_DIM} + 1), lambda i: (x[i] - m[i]) / s[i]) AS z FROM wide CROSS JOIN moment),
+col AS (SELECT i, list(x ORDER BY vec_id) AS x
+        FROM (SELECT vec_id, unnest(range(1, {EMB_DIM} + 1)) AS i, unnest(z) AS x FROM z) GROUP BY i),
+c1 AS (SELECT a.i, list(list_dot_product(a.x, b.x) / (len(a.x) - 1) ORDER BY b.i) AS r FROM col a CROSS JOIN col b GROUP BY a.i),
+{','.join(_component(j) for j in range(1, components + 1))}"""
+
+
+register("pca_loadings", f"""
+WITH RECURSIVE {_pca(3)},
+every AS ({' UNION ALL '.join(f'SELECT {j} AS component, v, ev FROM v{j}' for j in (1, 2, 3))})
+SELECT 'e' || lpad(CAST(i - 1 AS VARCHAR), 2, '0') AS feature, CAST(component AS BIGINT) AS component,
+       round(v[i], 3) AS weight, round(v[i] * sqrt(ev), {D}) AS loading, round(v[i] * sqrt(ev) * 3, {D}) AS arrow
+FROM every CROSS JOIN range(1, {EMB_DIM} + 1) r(i)""")
+
+register("pca_scores", f"""
+WITH RECURSIVE {_pca(2)}
+SELECT z.vec_id, z.label, round(list_dot_product(z.z, v1.v), {D}) AS pc1, round(list_dot_product(z.z, v2.v), {D}) AS pc2,
+       CASE WHEN z.label IS NULL OR z.label <> 0 THEN 1 ELSE 0 END AS not_class0
+FROM z CROSS JOIN v1 CROSS JOIN v2
+ORDER BY {hash_sql('42', 'z.vec_id')}, z.vec_id LIMIT {PCA_SAMPLE}""")

@@ -13,7 +13,7 @@ from outcomelab.functions.buckets import TIER_EDGES, TIER_LABELS
 from outcomelab.operators import distribution, prep, rates
 from outcomelab.plans.registry import query, rounded
 from outcomelab.session import scratch_path
-from outcomelab.sources import load_profile, read_csv, read_table, write_csv
+from outcomelab.sources import load_profile, read_csv, read_csv_checked, read_table, write_csv
 
 # Order priorities in their natural order (the 5-class target).
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -214,3 +214,21 @@ def q_csv_scan(spark, sf_dir):
                 F.sum("p_size").cast("bigint").alias("sum_size"),
                 F.avg("p_retailprice").alias("avg_price")))
     return rounded(out)
+
+
+# Every BAD_EVERY-th part gets a size that is no number.
+BAD_EVERY = 50
+
+
+@query("csv_bad_cells")
+def q_csv_bad_cells(spark, sf_dir):
+    """The same round trip with sizes that are no number in some rows: per type
+    the rows, the rows with a bad cell, and what the good cells hold."""
+    part = _t(spark, sf_dir, "part").select(*[f.name for f in PART_CSV_SCHEMA.fields])
+    spoilt = part.withColumn("p_size", F.when(F.col("p_partkey") % BAD_EVERY == 0, F.lit("n/a"))
+                             .otherwise(F.col("p_size").cast("string")))
+    back = read_csv_checked(spark, write_csv(spoilt, scratch_path(spark, "part-csv")), PART_CSV_SCHEMA)
+    return rounded(back.groupBy("p_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_bad_record").alias("n_bad"),
+        F.sum("p_size").cast("bigint").alias("sum_size"), F.sum("p_partkey").cast("bigint").alias("sum_key"),
+        F.avg("p_retailprice").alias("avg_price")))

@@ -9,25 +9,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
-# Schema of the race-outcome table the analysis works on (one row per
-# driver and race). Read CSVs of it with this schema instead of inferring.
-OUTCOME_SCHEMA = T.StructType([
-    T.StructField("year", T.IntegerType()),
-    T.StructField("round", T.IntegerType()),
-    T.StructField("circuit_name", T.StringType()),
-    T.StructField("grid", T.IntegerType()),
-    T.StructField("q1_gap_to_pole", T.DoubleType()),
-    T.StructField("constructor_standing", T.IntegerType()),
-    T.StructField("constructor_points", T.DoubleType()),
-    T.StructField("constructor_wins", T.IntegerType()),
-    T.StructField("driver_standing", T.IntegerType()),
-    T.StructField("driver_points", T.DoubleType()),
-    T.StructField("driver_wins", T.IntegerType()),
-    T.StructField("alt", T.DoubleType()),
-    T.StructField("final_position", T.StringType()),
-])
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the benchmark parquet tables; Catalyst prunes and pushes down."""
     if name not in TABLES:
@@ -40,3 +21,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     """CSV with a header and an explicit schema (no inference pass)."""
     return (spark.read.schema(schema).option("header", header)
             .option("mode", "PERMISSIVE").csv(path))
+
+
+BAD = "_bad_record"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with an explicit schema, plus ``_bad_record``: the whole line of a
+    row that has a cell of the wrong type, or too few or too many cells (NULL
+    for a good row; the good cells of a bad row are kept).
+
+    The header of every file is compared with the schema: a file whose columns
+    are named or ordered otherwise fails the job, as its cells would land in
+    wrong columns.
+    """
+    full = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+    return (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+            .option("enforceSchema", False).option("columnNameOfCorruptRecord", BAD).csv(path))

@@ -6,6 +6,6 @@ per-key running counts live in the state store (one entry per key), and
 each micro-batch rewrites the small result table.
 """
 
-from outcomelab.streaming.rates import rate_stream, start_rate_stream
+from outcomelab.streaming.rates import latest_rates, start_rate_stream
 
-__all__ = ["rate_stream", "start_rate_stream"]
+__all__ = ["latest_rates", "start_rate_stream"]

@@ -7,20 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from outcomelab.functions.labels import event_flag
-
-
-def rate_stream(stream: DataFrame, key: str, outcome: str, event) -> DataFrame:
-    """Running rows, events and rate per key of a streaming DataFrame.
-
-    Same semantics as ``operators.rates.rate_by_key``: NULL keys dropped,
-    NULL outcome counted as a row without event. The state holds two
-    counters per key.
-    """
-    agg = (stream.filter(F.col(key).isNotNull()).groupBy(key)
-           .agg(F.count(F.lit(1)).alias("n_rows"),
-                F.sum(event_flag(outcome, event)).cast("bigint").alias("n_events")))
-    return agg.withColumn("rate_pct", F.col("n_events") * F.lit(100.0) / F.col("n_rows"))
+from outcomelab.operators.rates import rate_by_key
 
 
 def start_rate_stream(spark: SparkSession, source_dir: str, schema: T.StructType, key: str,
@@ -28,16 +15,25 @@ def start_rate_stream(spark: SparkSession, source_dir: str, schema: T.StructType
                       fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
     """Start the rate stream from files in ``source_dir`` into ``sink_dir``.
 
-    Each micro-batch replaces the result table (it has one row per key).
+    The aggregate is ``operators.rates.rate_by_key``; its state holds two
+    counters per key. Each micro-batch writes the whole result (one row per key)
+    to a folder of its own, ``batch=<number>``, so a reader never sees half of
+    one and a repeated batch replaces itself; ``latest_rates`` reads the newest.
     ``checkpoint_dir`` must be on shared storage so that a restarted
     driver resumes from the stored offsets and state.
     """
     src = spark.readStream.schema(schema).format(fmt).load(source_dir)
-    out = rate_stream(src, key, outcome, event)
+    out = rate_by_key(src, key, outcome, event)
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(sink_dir)
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch={epoch}")
 
     w = out.writeStream.outputMode("complete").option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.foreachBatch(write).start()
+
+
+def latest_rates(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The result of the newest micro-batch."""
+    every = spark.read.parquet(sink_dir)
+    return every.where(F.col("batch") == every.agg(F.max("batch")).scalar()).drop("batch")

@@ -3,7 +3,7 @@
 from outcomelab.operators import rates
 from outcomelab.session import scratch_path
 from outcomelab.sources import read_table, write_parquet
-from outcomelab.streaming import start_rate_stream
+from outcomelab.streaming import latest_rates, start_rate_stream
 
 from conftest import SF001
 
@@ -17,7 +17,7 @@ def test_stream_matches_batch(spark):
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = start_rate_stream(spark, src + "/*", li.schema, "l_linenumber", "l_returnflag", "R", sink, ckpt)
     q.awaitTermination(300)
-    got = sorted(tuple(r) for r in spark.read.parquet(sink).select(
+    got = sorted(tuple(r) for r in latest_rates(spark, sink).select(
         "l_linenumber", "n_rows", "n_events", "rate_pct").collect())
     want = sorted(tuple(r) for r in rates.rate_by_key(li, "l_linenumber", "l_returnflag", "R").select(
         "l_linenumber", "n_rows", "n_events", "rate_pct").collect())
