@@ -275,49 +275,3 @@ SELECT {TARGET}, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(row_id) AS BIGINT)
        CAST(0 AS BIGINT) AS without_pred_logreg
 FROM outcome WHERE split = 'test' GROUP BY 1""")
 
-
-# ---- the unweighted arm: hinge loss, intercept without a penalty -------------------
-
-def _plain_hinge(reg: float, delta: float, steps: int) -> str:
-    """``solved`` and ``chosen`` of one-vs-rest machines with equal row weights
-    and ``reg / 2 * |w|^2``, the hinge's corner rounded over a small ``delta``."""
-    sign = "(CASE WHEN o.label = t.cls THEN 1 ELSE -1 END)"
-    return f"""
-sizes AS (SELECT count(*) AS n FROM points WHERE NOT test),
-gram AS (SELECT a.row_id, a.i, a.label, a.test, list(list_dot_product(a.z, b.z) ORDER BY b.i) AS g
-         FROM points a JOIN points b ON NOT b.test GROUP BY 1, 2, 3, 4),
-shape AS (SELECT n, top / n / {delta} + {reg} AS steep
-          FROM (SELECT max(n) AS n, max(list_sum(list_transform(g, lambda x: abs(x) + 1))) AS top FROM gram CROSS JOIN sizes WHERE NOT test)),
-solved(cls, c, y, b, e, step) USING KEY (cls) AS (
-  SELECT cls, list_transform(range(CAST(n AS BIGINT)), lambda x: 0.0::DOUBLE),
-         list_transform(range(CAST(n AS BIGINT)), lambda x: 0.0::DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE, 0
-  FROM shape CROSS JOIN range({K}) r(cls)
-  UNION
-  SELECT cls, list(d ORDER BY i), list(d + beta * (d - was) ORDER BY i), any_value(e) + sum(r),
-         any_value(e) + sum(r) + any_value(beta) * (any_value(e) + sum(r) - any_value(b)), any_value(step) + 1
-  FROM (SELECT q.*, (1 - {reg} / steep) * now + r AS d
-        FROM (SELECT t.cls, o.i, t.step, t.b, t.e, t.c[o.i] AS was, t.y[o.i] AS now, p.steep,
-                     (1 - sqrt({reg} / p.steep)) / (1 + sqrt({reg} / p.steep)) AS beta,
-                     {sign} / p.steep / p.n
-                     * least(greatest((1 - {sign} * (list_dot_product(o.g, t.y) + t.e)) / {delta}, 0), 1) AS r
-              FROM solved t CROSS JOIN shape p JOIN gram o ON NOT o.test WHERE t.step < {steps}) q)
-  GROUP BY cls),
-chosen AS (SELECT g.row_id, g.label, arg_max(s.cls, list_dot_product(g.g, s.c) + s.b) AS prediction
-           FROM gram g CROSS JOIN solved s WHERE g.test GROUP BY 1, 2)"""
-
-
-# Numbers and indicators divided by their sample deviation, not centred.
-_DIVIDED = f"""
-cats AS (SELECT list(src ORDER BY src) AS all_src FROM (SELECT DISTINCT src FROM members WHERE NOT test AND src IS NOT NULL)),
-long AS (SELECT m.*, list_concat(m.num, list_transform(c.all_src, lambda q: CASE WHEN q = m.src THEN 1.0 ELSE 0.0 END::DOUBLE)) AS x
-         FROM members m CROSS JOIN cats c),
-spread AS (SELECT list(CASE WHEN sd > 0 THEN sd END ORDER BY j) AS sd
-           FROM (SELECT j, stddev_samp(v) AS sd FROM (SELECT unnest(range(1, len(x) + 1)) AS j, unnest(x) AS v FROM long WHERE NOT test)
-                 GROUP BY j)),
-points AS (SELECT l.row_id, l.label, l.test, row_number() OVER (PARTITION BY l.test ORDER BY l.row_id) AS i,
-                  list_transform(range(1, len(l.x) + 1), lambda j: coalesce(l.x[j] / s.sd[j], 0)) AS z
-           FROM long l CROSS JOIN spread s)"""
-
-register("svc_ovr", f"""
-WITH RECURSIVE {OUTCOMES}, {_SPLIT}, {_DIVIDED}, {_plain_hinge(0.1, 0.02, 3000)}
-{_prediction('pred_spark_linearsvc')}""")

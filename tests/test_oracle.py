@@ -9,6 +9,8 @@ from outcomelab.plans.check import compare, duckdb_connection
 from conftest import SF001, SF01
 
 SQL = E.oracle_sql()
+# The sweep fits 1,110,000 rows twice (minutes): test_full_jobs holds its parts to small sizes.
+LONG = {"scaling_curve"}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def con():
     return duckdb_connection(SF01)
 
 
-@pytest.mark.parametrize("key", sorted(SQL))
+@pytest.mark.parametrize("key", sorted(set(SQL) - LONG))
 def test_matches_duckdb(spark, con, key):
     res = compare(E.queries()[key](spark, SF01), SQL[key], con)
     assert res["values_match"], res
