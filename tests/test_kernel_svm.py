@@ -179,3 +179,17 @@ def test_category_index_orders_by_frequency(spark, data, frame):
         if r[3]:
             count[r[3]] = count.get(r[3], 0) + 1
     assert got == sorted(count.items(), key=lambda x: (-x[1], x[0]))
+
+
+def test_weighted_square_is_symmetric_and_leaves_rows_without_weight_out():
+    rng = np.random.default_rng(5)
+    z, w = rng.normal(size=(300, 40)), rng.random(300) * (rng.random(300) < 0.8)
+    got = ks._Dense(z).square(w)
+    assert (got == got.T).all() and np.allclose(got, (z * w[:, None]).T @ z, rtol=1e-12, atol=1e-12)
+    z[w == 0] = np.nan
+    assert np.isfinite(ks._Dense(z).square(w)).all()
+
+
+def test_no_more_tasks_than_cores_send_sums(spark):
+    # every task sends the sums of all machines
+    assert ks.task_count(spark.range(1000), 1000, ks.TASK_ENTRIES) == spark.sparkContext.defaultParallelism
