@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from outcomelab.llm import quality
 
 from test_llm_operators import vocabulary
@@ -37,3 +39,17 @@ def test_least_error():
     assert quality.least_error([1, 2], [3, 4], [0, 0]) == -inf
     assert quality.least_error([0, 10], [0, 5], [5, 0]) == 5.5 * quality.BIN
     assert quality.least_error([0, 1, 2], [1, 1, 9], [9, 3, 1]) == 2 * quality.BIN
+
+
+@pytest.mark.parametrize("most", [2_000_000, 1])
+def test_all_labels_are_used(spark, monkeypatch, most):
+    monkeypatch.setattr(quality, "BROADCAST_IDS", most)
+    docs = spark.range(0, 420_000, 1, 4).selectExpr("id as doc_id", "'a b' as text")
+    labels = spark.range(0, 420_000, 1, 4).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+    rows = quality.marked(docs, quality.flags(spark, labels.union(labels.limit(10))))
+    assert rows.where("trusted").count() == rows.where("rejected").count() == 210_000
+    # an id that has both labels is both, one without any is neither, a NULL id has none
+    few = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1, 0), (1, None, 1), (None, 1, 0), (2, 1, None)], "doc_id long, quality int, toxic int")
+    assert sorted(tuple(r) for r in quality.marked(few, quality.flags(spark, marks)).collect()) == [
+        ("a", True, True), ("b", True, True), ("c", False, False), ("d", False, False)]
