@@ -113,3 +113,15 @@ def test_threshold_loses_few_trusted_documents():
 
 def test_licence_features_are_few():
     assert len(licenses._vocabulary()) + licenses.OTHER_CELLS < 5_000
+
+
+def test_suffix_array_sees_pages_with_an_article(spark):
+    rng, v = random.Random(8), vocabulary()
+    menu = " ".join(v[:12])
+    body = [" ".join(rng.choice(v) for _ in range(60)) for _ in range(3)]
+    pages = [(k, f"http://h.org/{k}", f"<body><p>{menu}</p><article><p>{body[max(0, k - 1)]}</p></article></body>") for k in range(4)]
+    pages += [(9, "http://i.org/1", f"<p>{menu}</p><article>{body[0]}</article>")]
+    got = {r.page_id: (r.text, r.n_repeated) for r in html_text.extract(
+        spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    # the menu repeats on the host; copies 0 and 1 keep their article
+    assert got == {k: (body[max(0, k - 1)] if k < 9 else body[0], 12 if k < 9 else 0) for k in (0, 1, 2, 3, 9)}
