@@ -8,10 +8,10 @@ context; the margin is calibrated on held-out candidates, and the threshold is
 the least calibrated probability that reaches ``PRECISION`` there. Chosen
 candidates that overlap no base span and no better candidate are added.
 
-The trees are fitted on the driver on a bounded sample of the candidates of all
-documents: about ``FIT_EACH`` positive and as many negative ones, chosen by the
-hash of the span and what stands before it (equal ones count once), so rare
-kinds are there and every run draws the same. The labels are weak: a candidate
+The trees are fitted on the candidates of all documents (equal spans after the
+same text count once): tasks keep the bins of theirs and a pass returns the
+gradient sums by feature and bin, two passes a tree. Sums are whole numbers, so
+every run grows the same trees. The labels are weak: a candidate
 is positive when it is a base span or carries a key (fixed forms below), and
 negative otherwise.
 
@@ -19,7 +19,7 @@ All patterns take linear time: a run without blanks is cut first and looked at
 once, whatever its length.
 
 Edge cases: NULL or empty text has no spans (the digest is that of the empty
-string). Without positive or without negative candidates in the sample nothing
+string). Without positive or without negative candidates nothing
 is added. Columns other than ``doc_id`` and ``text`` are not read.
 """
 
@@ -31,16 +31,23 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, stored, use_memos
+from outcomelab.operators.ordered import running
+
+from .common import batch, ship, stored, use_memos
 
-FIT_EACH = 20_000
 PRECISION = 0.99
 ROUNDS = 40
 RATE = 0.3
 BINS = 24
+#: Candidates a task of the fit reads.
+FIT_ROWS = 100_000
+#: Steps of the whole numbers in which sums are held, so that they are exact in any order.
+FIXED, MOMENT = 2.0 ** 32, 2.0 ** 28
+N_FEATURES = 21
 
 #: Base kinds in their order, then the kinds that the method adds.
 KINDS = ("email", "ip", "card", "phone", "secret", "number", "address")
@@ -171,64 +178,57 @@ def features(text: str, span: tuple[str, int, int]) -> list[float]:
 class Boosted:
     """Depth-2 trees on binned features, logistic loss."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = RATE):
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        binned = self._bin(x)
-        p = min(max(y.mean(), 1e-4), 1 - 1e-4)
-        self.start = float(np.log(p / (1 - p)))
+    def __init__(self, edges: list[np.ndarray], start: float):
+        self.edges, self.start = edges, start
         self.trees: list[tuple] = []
-        margin = np.full(len(y), self.start)
-        for _ in range(rounds):
-            q = 1 / (1 + np.exp(-margin))
-            g, h = y - q, q * (1 - q)
-            root = self._split(binned, g, h, np.ones(len(y), bool))
-            left = binned[root[0]] <= root[1]
-            low, high = (self._split(binned, g, h, side) for side in (left, ~left))
-            leaf = []
-            for side, cut in ((left, low), (~left, high)):
-                for part in (side & (binned[cut[0]] <= cut[1]), side & (binned[cut[0]] > cut[1])):
-                    leaf.append(rate * g[part].sum() / (h[part].sum() + 1.0))
-            self.trees.append((root, low, high, leaf))
-            margin = margin + self._tree(binned, self.trees[-1])
 
-    def _bin(self, x):
-        return [np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)]
+    def bin(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)]).astype(np.uint8)
 
     @staticmethod
-    def _split(binned, g, h, rows):
+    def split(sums: np.ndarray) -> tuple[int, int]:
+        """Feature and last bin of the left side, from (feature, g and h, bin) sums."""
         best = (-1.0, 0, 0)
-        for f, c in enumerate(binned):
-            gs = np.cumsum(np.bincount(c[rows], g[rows], BINS + 1))
-            hs = np.cumsum(np.bincount(c[rows], h[rows], BINS + 1))
+        for f, (g, h) in enumerate(sums):
+            gs, hs = np.cumsum(g), np.cumsum(h)
             gain = gs ** 2 / (hs + 1) + (gs[-1] - gs) ** 2 / (hs[-1] - hs + 1)
             k = int(np.argmax(gain))
             if gain[k] > best[0] + 1e-9:
                 best = (float(gain[k]), f, k)
         return best[1], best[2]
 
-    @staticmethod
-    def _tree(binned, tree):
-        root, low, high, leaf = tree
-        left = binned[root[0]] <= root[1]
-        a, b = binned[low[0]] <= low[1], binned[high[0]] <= high[1]
-        return np.where(left, np.where(a, leaf[0], leaf[1]), np.where(b, leaf[2], leaf[3]))
+    def grow(self, sums) -> None:
+        """One more tree; ``sums(root)`` gives the sums of the whole, or of both sides of a root."""
+        (whole,) = sums(None)
+        root = self.split(whole)
+        sides = sums(root)
+        low, high = (self.split(x) for x in sides)
+        leaf = []
+        for x, (f, k) in zip(sides, (low, high)):
+            for part in (slice(0, k + 1), slice(k + 1, None)):
+                g, h = x[f, :, part].sum(axis=1)
+                leaf.append(float(RATE * g / (h + 1.0)))
+        self.trees.append((root, low, high, leaf))
+
+    def margin_of(self, binned: np.ndarray) -> np.ndarray:
+        out = np.full(binned.shape[1], self.start)
+        for root, low, high, leaf in self.trees:
+            left = binned[root[0]] <= root[1]
+            a, b = binned[low[0]] <= low[1], binned[high[0]] <= high[1]
+            out += np.where(left, np.where(a, leaf[0], leaf[1]), np.where(b, leaf[2], leaf[3]))
+        return out
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
-        out = np.full(len(x), self.start)
-        for t in self.trees:
-            out += self._tree(binned, t)
-        return out
+        return self.margin_of(self.bin(x))
 
 
-def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through held-out margins (Newton steps)."""
+def calibrate(sums) -> tuple[float, float]:
+    """Slope and shift of a logistic curve through held-out margins (Newton
+    steps); ``sums(a, b)`` gives those of the residuals and of the weights."""
     a, b = 1.0, 0.0
     for _ in range(30):
-        p = 1 / (1 + np.exp(-(a * margin + b)))
-        w = p * (1 - p) + 1e-9
-        ga, gb = ((y - p) * margin).sum() - 1e-3 * (a - 1), (y - p).sum() - 1e-3 * b
-        haa, hab, hbb = (w * margin ** 2).sum() + 1e-3, (w * margin).sum(), w.sum() + 1e-3
+        ga, gb, haa, hab, hbb = sums(a, b)
+        ga, gb, haa, hbb = ga - 1e-3 * (a - 1), gb - 1e-3 * b, haa + 1e-3, hbb + 1e-3
         det = haa * hbb - hab * hab
         da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
         a, b = a + np.clip(da, -2, 2), b + np.clip(db, -2, 2)
@@ -240,21 +240,9 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class Model:
     """Fitted trees, calibration and threshold; ``None`` trees add nothing."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, precision: float = PRECISION):
-        self.trees = None
+    def __init__(self, trees: Boosted | None = None, slope: float = 1.0, shift: float = 0.0):
+        self.trees, self.slope, self.shift = trees, slope, shift
         self.threshold = 2.0
-        part = np.arange(len(y)) % 3 == 0  # held out
-        if not len(y) or len(set(y[~part])) < 2 or len(set(y[part])) < 2:
-            return
-        self.trees = Boosted(x[~part], y[~part])
-        m = self.trees.margin(x[part])
-        self.slope, self.shift = calibrate(m, y[part])
-        p = self._probability(m)
-        k = np.argsort(-p)
-        right = np.cumsum(y[part][k]) / np.arange(1, len(k) + 1)
-        last = np.r_[p[k][1:] != p[k][:-1], True]  # ties are taken together
-        good = np.flatnonzero((right >= precision) & last)
-        self.threshold = max(float(p[k][good[-1]]), 0.5) if len(good) else 2.0
 
     def _probability(self, margin):
         return 1 / (1 + np.exp(-(self.slope * margin + self.shift)))
@@ -313,10 +301,88 @@ def labelled(text: str) -> list[tuple[tuple[str, int, int], int, int]]:
     return out
 
 
-def fit(spark: SparkSession, docs: DataFrame, fit_each: int = FIT_EACH) -> Model:
-    """Trees from a bounded sample of the candidates of all documents."""
+def _lots(trees: Boosted):
+    """Candidates as lots of bins: ``held, b, y``."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            y, held = b.column(1).to_numpy().astype(np.uint8), b.column(2).to_numpy(zero_copy_only=False)
+            binned = trees.bin(x)
+            for part in (False, True):
+                m = held == part
+                if m.any():
+                    yield batch(held=(pa.bool_(), [part]), b=(pa.binary(), [binned[:, m].tobytes()]),
+                                y=(pa.binary(), [y[m].tobytes()]))
+    return run
+
+
+def _opened(batches):
+    """Bins (feature, row) and labels of every lot."""
+    for b in batches:
+        for x, y in zip(b.column(1), b.column(2)):
+            y = np.frombuffer(y.as_py(), np.uint8)
+            yield np.frombuffer(x.as_py(), np.uint8).reshape(-1, len(y)), y.astype(float)
+
+
+def _summed(lots: DataFrame, each, scale: float) -> np.ndarray:
+    """Sum over all lots of the whole numbers that ``each`` gives for a lot: a task
+    adds up its own, and the sum does not depend on how rows are dealt."""
+    def run(batches):
+        total = None
+        for binned, y in _opened(batches):
+            got = each(binned, y).astype(np.int64)
+            total = got if total is None else total + got
+        if total is not None:
+            yield batch(v=(pa.binary(), [total.tobytes()]))
+
+    return sum(np.frombuffer(bytes(r.v), np.int64) for r in lots.mapInArrow(run, "v binary").collect()) / scale
+
+
+def _tree_sums(lots: DataFrame, trees: Boosted):
+    def sums(root):
+        def each(binned, y):
+            q = 1 / (1 + np.exp(-trees.margin_of(binned)))
+            g, h = np.rint((y - q) * FIXED), np.rint(q * (1 - q) * FIXED)
+            left = None if root is None else binned[root[0]] <= root[1]
+            sides = [slice(None)] if root is None else [left, ~left]
+            return np.array([[[np.bincount(c[m], w[m], BINS + 1) for w in (g, h)] for c in binned] for m in sides])
+
+        n = 1 if root is None else 2
+        return _summed(lots, each, FIXED).reshape(n, len(trees.edges), 2, BINS + 1)
+    return sums
+
+
+def _curve_sums(lots: DataFrame, trees: Boosted):
+    def sums(a, b):
+        def each(binned, y):
+            m = trees.margin_of(binned)
+            p = 1 / (1 + np.exp(-(a * m + b)))
+            w = p * (1 - p) + 1e-9
+            return np.array([np.rint(v * MOMENT).sum() for v in ((y - p) * m, y - p, w * m ** 2, w * m, w)])
+        return _summed(lots, each, MOMENT)
+    return sums
+
+
+def _least_margin(lots: DataFrame, trees: Boosted, slope: float, precision: float) -> float | None:
+    """The last margin, from the likeliest on, up to which the share of positive
+    candidates is at least ``precision``; equal margins are taken together."""
+    def margins(batches):
+        for binned, y in _opened(batches):
+            yield batch(m=(pa.float64(), trees.margin_of(binned)), y=(pa.int64(), y.astype(np.int64)))
+
+    at = (lots.mapInArrow(margins, "m double, y long").groupBy("m")
+          .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hit")))
+    at = running(at, [F.col("m").desc() if slope > 0 else F.col("m").asc()], ["n", "hit"])
+    good = at.where((F.col("hit_before") + F.col("hit")) / (F.col("n_before") + F.col("n")) >= precision)
+    return good.agg((F.min if slope > 0 else F.max)("m")).first()[0]
+
+
+def fit(spark: SparkSession, docs: DataFrame, fit_each: int | None = None) -> Model:
+    """Trees from the candidates of all documents (``fit_each``: from about so
+    many of either label, the least by hash)."""
     ship(spark)
-    empty = Model(np.empty((0, 1)), np.empty(0))
 
     def run(batches):
         use_memos()
@@ -334,16 +400,36 @@ def fit(spark: SparkSession, docs: DataFrame, fit_each: int = FIT_EACH) -> Model
     src = docs.where("text is not null").select("text")
     # 200 bytes a candidate: small next to the texts
     found = stored(spark, src.mapInArrow(run, "x array<double>, y int, h long"), "candidates")
-    # the hash up to which candidates are taken, by label
-    upto = {r.y: (1 << 60) if r.n <= fit_each else int((1 << 60) * (fit_each / r.n))
-            for r in found.groupBy("y", "h").agg(F.lit(1)).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(upto) < 2:
-        return empty
+    if fit_each:
+        # the hash up to which candidates are taken, by label
+        upto = {r.y: (1 << 60) if r.n <= fit_each else int((1 << 60) * (fit_each / r.n))
+                for r in found.groupBy("y", "h").agg(F.lit(1)).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        found = found.where(F.col("h") < F.when(F.col("y") == 1, F.lit(upto.get(1, 0))).otherwise(F.lit(upto.get(0, 0))))
     # equal candidates may differ in what follows them: the least is taken
-    taken = F.when(F.col("y") == 1, F.lit(upto[1])).otherwise(F.lit(upto[0]))
-    got = (found.where(F.col("h") < taken).groupBy("h", "y").agg(F.min("x").alias("x"))
-           .orderBy("h", "y").toPandas())
-    return Model(np.stack(got["x"].to_numpy()), got["y"].to_numpy(float))
+    got = found.groupBy("h", "y").agg(F.min("x").alias("x"))
+    # every third in the order of the hash is held out
+    placed = stored(spark, running(got, [F.col("h"), F.col("y")]).select("x", "y", (F.col("pos") % 3 == 0).alias("held")), "fit")
+    n = {(r.held, r.y): r["count"] for r in placed.groupBy("held", "y").count().collect()}
+    if len(n) < 4:
+        return Model()
+    cuts = F.array(*[F.lit(float(q)) for q in np.linspace(0, 1, BINS + 1)[1:-1]])
+    edges = placed.where("not held").agg(*[F.percentile(F.col("x")[i], cuts) for i in range(N_FEATURES)]).first()
+    p = min(max(n[False, 1] / (n[False, 0] + n[False, 1]), 1e-4), 1 - 1e-4)
+    trees = Boosted([np.unique(e) for e in edges], float(np.log(p / (1 - p))))
+    lots = (placed.repartition(-(-sum(n.values()) // FIT_ROWS)).mapInArrow(_lots(trees), "held boolean, b binary, y binary")
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        sums = _tree_sums(lots.where("not held"), trees)
+        for _ in range(ROUNDS):
+            trees.grow(sums)
+        held = lots.where("held")
+        model = Model(trees, *calibrate(_curve_sums(held, trees)))
+        least = _least_margin(held, trees, model.slope, PRECISION)
+        if least is not None:
+            model.threshold = max(float(model._probability(np.array([least]))[0]), 0.5)
+    finally:
+        lots.unpersist()
+    return model
 
 
 def spelled(spans) -> str:

@@ -71,6 +71,20 @@ def test_trees_are_the_same_in_every_run(spark):
     assert small.trees is not None
 
 
+def test_trees_are_fitted_on_all_candidates_by_many_tasks(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(f"mail a{k}@b{k}.org, item {rng.randint(10, 9999999)}, password: x{k}",) for k in range(300)],
+                                 "text string")
+    monkeypatch.setattr(pii, "ROUNDS", 3)
+    whole = pii.fit(spark, docs)
+    monkeypatch.setattr(pii, "FIT_ROWS", 100)
+    parts, part = pii.fit(spark, docs), pii.fit(spark, docs, fit_each=40)
+    assert (parts.trees.trees, parts.threshold, parts.slope) == (whole.trees.trees, whole.threshold, whole.slope)
+    # a bound is the caller's choice; without one the share of positive candidates is that of all
+    n = [len({h for (t,) in docs.collect() for _, y, h in pii.labelled(t) if y == k}) for k in (0, 1)]
+    assert abs(1 / (1 + np.exp(-whole.trees.start)) - n[1] / sum(n)) < 0.05 and part.trees.start != whole.trees.start
+
+
 def test_score_without_a_document_is_that_of_a_model_without_it():
     rng, v = random.Random(8), vocabulary()
     docs = [[rng.choice(v).encode() for _ in range(rng.randint(50, 90))] for _ in range(20)]
