@@ -5,19 +5,19 @@ lines up to a blank one that may hold a notice, becomes hashed word 1- and
 2-grams. A sparse multinomial logistic regression (Spark ML) gives the
 probability of each licence family and of "unknown". It is trained on the
 templates, on copies of them that lack one word or stand among other words
-(if they still tell the family), and, for unknown, on a sample of paragraphs
-unlike all templates. A paragraph is a licence when the probability of any
-family reaches the threshold, which is calibrated on held-out unknown
-paragraphs; its family is the likeliest whose tell (name, version, NC and the
+(if they still tell the family), and, for unknown, on all distinct paragraphs
+that it is asked about and that are unlike all templates. A paragraph is a licence when the probability of any
+family reaches the threshold, which is calibrated on the third of the unknown
+paragraphs that is held out; its family is the likeliest whose tell (name, version, NC and the
 like, ``TELLS``) it holds. The template comparison confirms it: ``CONTAINED``
 of the words of some template of that family are in the paragraph. The opening
 sentence that all BSD licences share is the family "BSD". A notice wrapped over
 lines counts once; ``n_paragraphs`` counts lines.
 
-No Python runs on the executors. The training sample is bounded by
-``FIT_PARAGRAPHS`` and drawn from all paragraphs. A paragraph that holds no
-anchor (a pattern that every tell contains) cannot be confirmed, so the
-classifier is not asked about it; this leaves out no result.
+No Python runs on the executors. A paragraph that holds no anchor (a pattern
+that every tell contains) cannot be confirmed, so the classifier is not asked
+about it and does not learn from it; this leaves out no result. Texts are read
+once for blocks with an anchor, which are written.
 
 Edge cases: NULL or empty text has no paragraphs and no licence; repeated rows
 each get their result; an empty table gives no rows. Columns other than
@@ -156,8 +156,8 @@ for _version, _scope, _parts in (("4.0", "International", list(_CC)), ("3.0", "U
         TELLS[f"CC-{_p}-{_version}"] = _cc_tell(_CC[_p][1], _CC[_p][2], _version)
 FAMILIES = sorted(TEMPLATES)
 UNKNOWN = len(FAMILIES)
-FIT_PARAGRAPHS = 4_000
-FIT_TASKS = 4
+#: Rows of a task of the fit, whose every step is a pass over all of them.
+FIT_ROWS = 8_000
 CONTAINED = 0.8
 #: Cells of word n-grams that no template holds; every n-gram of the templates has its own.
 OTHER_CELLS = 512
@@ -179,20 +179,24 @@ def _bare(tokens: Column) -> Column:
     return F.transform(tokens, lambda w: F.rtrim(w, F.lit(".-")))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("_k"), F.posexplode(F.split("text", _BLANK)).alias("block", "body"))
+def anchored(docs: DataFrame) -> DataFrame:
+    """``_k, block, body`` of the blocks (lines up to a blank one) that hold an
+    anchor; ``_k`` is a hash of id and text."""
+    # an anchor of a block is one of its text: most texts have none and are not cut
+    blocks = docs.where(F.col("text").rlike(_ANCHOR)).select(
+        F.xxhash64("doc_id", "text").alias("_k"), F.posexplode(F.split("text", _BLANK)).alias("block", "body"))
+    return blocks.where(F.col("body").rlike(_ANCHOR))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """``_k, block, first, last, line`` of every line with text; ``_k`` is a hash of id and text."""
-    lines = _keyed(docs).select("_k", "block", F.posexplode(F.split("body", "\n")).alias("first", "line"))
-    return lines.where(F.col("line").rlike(r"[\p{L}\p{N}]")).select("_k", "block", "first", F.col("first").alias("last"), "line")
+def paragraphs(blocks: DataFrame) -> DataFrame:
+    """``_k, block, first, last, line`` of every line of ``anchored`` blocks that holds an anchor."""
+    lines = blocks.select("_k", "block", F.posexplode(F.split("body", "\n")).alias("first", "line"))
+    return lines.where(F.col("line").rlike(_ANCHOR)).select("_k", "block", "first", F.col("first").alias("last"), "line")
 
 
-def wrapped(docs: DataFrame) -> DataFrame:
-    """Runs of two lines or more, up to a blank line, that may hold a notice."""
-    b = (_keyed(docs).where(F.col("body").contains("\n") & F.col("body").rlike(_ANCHOR))
-         .withColumn("lines", F.split("body", "\n")))
+def wrapped(blocks: DataFrame) -> DataFrame:
+    """Runs of two lines or more of ``anchored`` blocks that may hold a notice."""
+    b = blocks.where(F.col("body").contains("\n")).withColumn("lines", F.split("body", "\n"))
     n = b.select("_k", "block", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - 2)).alias("first"))
     n = n.withColumn("some", F.slice("lines", F.col("first") + 1, NOTICE_WORDS))
     # words of the run up to each line: a run ends before it is longer than a notice
@@ -260,15 +264,17 @@ def _tells(spelled: Column) -> Column:
     return F.array(*[spelled.rlike(TELLS[f]) for f in FAMILIES])
 
 
-def fit(spark: SparkSession, docs: DataFrame, limit: int = FIT_PARAGRAPHS) -> tuple[LogisticRegressionModel, float]:
+def unknown_lines(blocks: DataFrame) -> DataFrame:
+    """``line, held`` of every distinct line with an anchor that is unlike all
+    templates; ``held`` is a third of them, by hash."""
+    lines = paragraphs(blocks).select("line").distinct()
+    return (lines.where(_containment(_bare(_tokens(F.col("line")))) < 0.6)
+            .withColumn("held", F.pmod(F.xxhash64("line"), F.lit(3)) == 0))
+
+
+def fit(spark: SparkSession, blocks: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The classifier and the least probability of a licence that counts."""
-    n = max(1, docs.count())
-    share = min(1.0, limit / (4 * n))
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # the least hashes of the sampled lines: the same ones in every run
-    other = (paragraphs(some).select("line").distinct().orderBy(F.xxhash64("line"), "line").limit(limit)
-             .where(_containment(_bare(_tokens(F.col("line")))) < 0.6)
-             .withColumn("held", F.pmod(F.xxhash64("line"), F.lit(3)) == 0))
+    other = stored(spark, unknown_lines(blocks), "unknown")
     copies = set()
     for k, f in enumerate(FAMILIES):
         for t in TEMPLATES[f]:
@@ -281,7 +287,8 @@ def fit(spark: SparkSession, docs: DataFrame, limit: int = FIT_PARAGRAPHS) -> tu
     known = spark.createDataFrame(sorted(copies), "label double, line string")
     plain = spark.createDataFrame([("the of and to in",), ("1",), ("version 3",), ("released under the sun",)], "line string")
     unknown = other.where("not held").select("line").unionByName(plain).select(F.lit(float(UNKNOWN)).alias("label"), "line")
-    rows = _grams(known.unionByName(unknown)).select("label", "features").repartition(FIT_TASKS).cache()
+    tasks = 4 + other.count() // FIT_ROWS
+    rows = _grams(known.unionByName(unknown)).select("label", "features").repartition(tasks).cache()
     model = LogisticRegression(family="multinomial", maxIter=60, regParam=5e-4, elasticNetParam=0.5).fit(rows)
     rows.unpersist()
     # a licence must be likelier than it is for any held-out unknown paragraph
@@ -290,11 +297,10 @@ def fit(spark: SparkSession, docs: DataFrame, limit: int = FIT_PARAGRAPHS) -> tu
     return model, min(0.9, max(0.5, (seen or 0.0) + 0.01))
 
 
-def classify(spark: SparkSession, docs: DataFrame, model: LogisticRegressionModel, threshold: float) -> DataFrame:
+def classify(spark: SparkSession, blocks: DataFrame, model: LogisticRegressionModel, threshold: float) -> DataFrame:
     """``_k, block, first, last, family, probability`` of every run of lines that is a licence."""
     # a line without an anchor holds no tell, so it could not be confirmed: it is not scored
-    lines = paragraphs(docs).where(F.col("line").rlike(_ANCHOR))
-    scored = model.transform(_grams(lines.unionByName(wrapped(docs))))
+    scored = model.transform(_grams(paragraphs(blocks).unionByName(wrapped(blocks))))
     p = vector_to_array("probability")
     likely = (scored.select("_k", "block", "first", "last", "w", p.alias("p"))
               .withColumn("probability", 1 - F.element_at("p", UNKNOWN + 1)).where(F.col("probability") >= threshold))
@@ -325,8 +331,9 @@ def notices(found: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, n_paragraphs, n_license, families`` of every document."""
     src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    model, threshold = fit(spark, src)
-    found = notices(classify(spark, src, model, threshold))
+    blocks = stored(spark, anchored(src), "anchored")
+    model, threshold = fit(spark, blocks)
+    found = notices(classify(spark, blocks, model, threshold))
     n = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")))
     rows = src.select("doc_id", F.xxhash64("doc_id", "text").alias("k"),
                       F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_paragraphs"))

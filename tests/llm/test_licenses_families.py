@@ -52,3 +52,15 @@ def test_templates_tell_only_their_family(spark):
     for r in tells:
         assert [f for f, t in zip(licenses.FAMILIES, r.tells) if t] == [r.family], r.line
         assert r.anchor, r.line
+
+
+def test_unknown_is_learnt_from_every_line_that_is_scored(spark):
+    # more distinct lines than the 4,000 that a sample once was bounded by, one of them twice
+    lines = [f"the gnu of herd {k} stood by gate {k % 7}" for k in range(4_500)]
+    docs = spark.createDataFrame([(k, f"{x}\n\nno anchor {k}\n{lines[0]}\nReleased under the MIT License.")
+                                  for k, x in enumerate(lines)], "doc_id long, text string")
+    got = licenses.unknown_lines(licenses.anchored(docs)).groupBy("held").count().collect()
+    assert sum(r["count"] for r in got) == 4_500
+    assert 1_300 < {r.held: r["count"] for r in got}[True] < 1_700
+    _, threshold = licenses.fit(spark, licenses.anchored(docs))
+    assert 0.5 <= threshold <= 0.9
