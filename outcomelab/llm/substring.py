@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (batch, is_member, membership, mix, rolling, ship, signed, stored, word_hashes, words)
+from .common import (batch, is_member, membership, mix, rolling, ship, signed, stored, use_memos, word_hashes,
+                     words)
 
 WINDOW = 35
 SEED = 8
@@ -66,6 +67,7 @@ def seeds(h: np.ndarray, window: int = WINDOW, k: int = SEED) -> tuple[np.ndarra
 
 def _count_seeds(window, k):
     def run(batches):
+        use_memos("words")
         lot, held = [], 0
 
         def out():
@@ -107,6 +109,7 @@ _STRETCH = "shard int, k long, a int, words int, text binary"
 
 def _stretches(bits, hot, shards, window, k):
     def run(batches):
+        use_memos("words")
         table = np.frombuffer(bits.value, np.uint8)
         met: dict[bytes, tuple | None] = {}
         rows: list[tuple] = []
@@ -191,16 +194,18 @@ def _locate(window):
     def run(pdf):
         import ahocorasick
         import pandas as pd
+        use_memos()
         known = pdf[pdf["text"].isna()]
         out = [(known["k"].to_numpy(np.int64), known["a"].to_numpy(np.int64),
                 (known["a"] + known["words"]).to_numpy(np.int64))]
         pdf = pdf[pdf["text"].notna()]
         number: dict[bytes, int] = {}
-        parts = [[number.setdefault(w, len(number) + 1) for w in t.split()] for t in pdf["text"]]
-        if parts:
-            size = np.array([len(p) for p in parts])
+        if len(pdf):
+            size = pdf["words"].to_numpy(np.int64)
             first = np.cumsum(size) - size
-            flat = np.fromiter((x for p in parts for x in p), np.int64, int(size.sum()))
+            flat = np.fromiter((number.setdefault(w, len(number) + 1) for t in pdf["text"] for w in t.split()),
+                               np.int64, int(size.sum()))
+            number.clear()
             found, holds = phrases(flat, first, window)
             if found:
                 auto = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
@@ -211,7 +216,7 @@ def _locate(window):
                 rows = []
                 for j in np.flatnonzero(holds).tolist():
                     lo = hi = -1
-                    for end, n in auto.iter(tuple(parts[j])):
+                    for end, n in auto.iter(tuple(flat[first[j]:first[j] + size[j]].tolist())):
                         if hi < 0:
                             lo, hi = end + 1 - n, end + 1
                         elif end + 1 - n > hi:
@@ -230,6 +235,7 @@ def _locate(window):
 
 
 def _remove(batches):
+    use_memos()
     for b in batches:
         rows = []
         for t, cut in zip(b.column(1), b.column(2)):
