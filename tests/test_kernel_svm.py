@@ -193,3 +193,43 @@ def test_weighted_square_is_symmetric_and_leaves_rows_without_weight_out():
 def test_no_more_tasks_than_cores_send_sums(spark):
     # every task sends the sums of all machines
     assert ks.task_count(spark.range(1000), 1000, ks.TASK_ENTRIES) == spark.sparkContext.defaultParallelism
+
+
+def test_other_folds_start_from_the_first(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 2))
+    y = (x[:, 0] + 0.6 * rng.normal(size=6000) > 0).astype(int) + (x[:, 1] > 1.1)
+    df = spark.createDataFrame([(k, float(a), float(b), "uvw"[k % 3], int(c), k % 3) for k, ((a, b), c) in enumerate(zip(x, y))],
+                               SCHEMA).repartition(3).cache()
+    passes, step = [], ks.step
+    monkeypatch.setattr(ks, "step", lambda *a, **kw: (passes.append({i: x.copy() for i, x in a[6].items()}), step(*a, **kw))[1])
+    cs = (0.5, 1.0)
+    _, fit = ks.grid_search(spark, df, ["a", "b"], "cat", "y", K, cs, (0.0, 0.1), "fold", 3, n_features=20)
+    assert len(fit.sets) == 6 and max(g.max() for g in fit.gaps) <= ks.GAP
+    m = K * len(cs)
+    assert sorted(passes[0]) == list(range(2 * m))  # both widths of the first fold
+    for i in range(2 * m, 6 * m):
+        first = next(p[i] for p in passes if i in p)
+        s, c = divmod(i % (2 * m), m)
+        assert np.array_equal(first, fit.coefs[s][:, c])
+
+
+def test_a_wide_gap_holds_for_the_rounded_hinge(spark, data, frame):
+    # features in single numbers, weights of a smooth hinge as the dual point
+    model = ks.fit_one(spark, frame, ["a", "b"], "cat", "y", K, 2.0, 0.2, n_features=12, gap=2e-3)
+    assert model.gap <= 2e-3
+    z = _design(data, 0.2, model.kernel)
+    y = np.array([r[4] for r in data])
+    w = (len(y) / (K * np.bincount(y, minlength=K)))[y] / len(y)
+    for c in range(K):
+        s, lam = np.where(y == c, 1.0, -1.0), 1 / (2.0 * len(y))
+        best = _loss(_slow(z, s, w, lam), z, s, w, lam)[0]
+        assert best - 1e-6 <= _loss(model.coef[:, c], z, s, w, lam)[0] <= best + model.gap + 1e-6
+
+
+def test_a_class_without_rows_ends_too(spark, frame, monkeypatch):
+    passes, step = [], ks.step
+    monkeypatch.setattr(ks, "step", lambda *a, **kw: (passes.append(list(a[6])), step(*a, **kw))[1])
+    model = ks.fit_one(spark, frame, ["a", "b"], "cat", "y", K + 1, 1.0, gap=1e-9)
+    assert model.gap <= 1e-9 and len(passes) < 80
+    assert model.transform(frame).where(f"prediction = {K}").count() == 0
